@@ -35,21 +35,27 @@ FOCUS_DAY = "is_focus_day"
 _DAY = "day"
 
 
-def _near_any(events: str, cfg: Config) -> Column:
-    if cfg.literal:
-        # The replaced job loses the day of these purchases, so none ever reaches the calendar.
-        return F.lit(False)
-    return F.exists(events, lambda event: near_event(F.col("date"), event, cfg))
+def _near_flags(asked: set[str], cfg: Config) -> dict[str, Column]:
+    """Whether the day lies near any of the card's events: worked out once, used by a count and a sum."""
+    flags = {
+        "near_birthday": ("birthdays", {"birthdaycustomercount", "birthdaycustomersales"}),
+        "near_anniversary": ("anniversaries", {"anncustomercount", "annvcustomersales"}),
+    }
 
+    def near(events):
+        if cfg.literal:
+            # The replaced job loses the day of these purchases, so none ever reaches the calendar.
+            return F.lit(False)
+        return F.exists(events, lambda event: near_event(F.col("date"), event, cfg))
+
+    return {flag: near(events) for flag, (events, users) in flags.items() if users & asked}
+
+
+def _total(condition: Column) -> Column:
+    return F.sum(F.when(condition, F.col("amount"))).cast("double")
 
-def _day_measures(is_own: Column, cfg: Config) -> dict[str, Column]:
-    """Aggregates over card-days, per day. A card has one row per day, so counting rows counts cards."""
-    has_card = is_own & F.col("card_no").isNotNull()
-    is_first = has_card & (F.col("date") == F.col("first_day"))
-    is_later = has_card & (F.col("date") > F.col("first_day"))
-    birthday = has_card & _near_any("birthdays", cfg)
-    anniversary = has_card & _near_any("anniversaries", cfg)
 
+def _first_focus_buyers(has_card: Column, cfg: Config) -> Column:
     first_focus = F.col("first_focus_day")
     bought_elsewhere = F.coalesce(F.col("first_elsewhere_day") < first_focus, F.lit(False))
     enrolled_before = F.coalesce(F.col("enrolled") < first_focus, F.lit(False))
@@ -58,38 +64,54 @@ def _day_measures(is_own: Column, cfg: Config) -> dict[str, Column]:
         reasons = bought_elsewhere.cast("int") + enrolled_before.cast("int")
     else:
         reasons = (bought_elsewhere | enrolled_before).cast("int")
+    return F.sum(F.when(has_card & (F.col("date") == first_focus), reasons))
 
-    def total(condition):
-        return F.sum(F.when(condition, F.col("amount"))).cast("double")
-
-    return {
-        "newcustomercount": F.count_if(is_first),
-        "repeatcustomercount": F.count_if(is_later),
-        "totalcustomertransactions": F.count_if(has_card),
-        "newcustomersales": total(is_first),
-        "repeatcustomersales": total(is_later),
-        "transactedcustomersales": total(has_card),
-        "birthdaycustomercount": F.count_if(birthday),
-        "birthdaycustomersales": total(birthday),
-        "anncustomercount": F.count_if(anniversary),
-        "annvcustomersales": total(anniversary),
-        "crosschannelbuyers": F.sum(F.when(has_card & (F.col("date") == first_focus), reasons)),
-        "diamondenthusiasts": F.count_if(has_card & F.col("keyword_in_focus") & F.col("enrolled").isNotNull()),
-        "activecustomers": F.count_if(has_card & F.col("spent_in_program") & (F.col("date") >= F.col("enrolled"))),
+
+def _day_measure(name: str, is_own: Column, cfg: Config) -> Column:
+    """Aggregate over card-days, per day. A card has one row per day, so counting rows counts cards."""
+    has_card = is_own & F.col("card_no").isNotNull()
+
+    def is_first():
+        return has_card & (F.col("date") == F.col("first_day"))
+
+    def is_later():
+        return has_card & (F.col("date") > F.col("first_day"))
+
+    def is_near(flag):
+        return has_card & F.col(flag)
+
+    def is_keyword_buyer():
+        return has_card & F.col("keyword_in_focus") & F.col("enrolled").isNotNull()
+
+    def is_active():
+        return has_card & F.col("spent_in_program") & (F.col("date") >= F.col("enrolled"))
+
+    measures = {
+        "newcustomercount": lambda: F.count_if(is_first()),
+        "repeatcustomercount": lambda: F.count_if(is_later()),
+        "totalcustomertransactions": lambda: F.count_if(has_card),
+        "newcustomersales": lambda: _total(is_first()),
+        "repeatcustomersales": lambda: _total(is_later()),
+        "transactedcustomersales": lambda: _total(has_card),
+        "birthdaycustomercount": lambda: F.count_if(is_near("near_birthday")),
+        "birthdaycustomersales": lambda: _total(is_near("near_birthday")),
+        "anncustomercount": lambda: F.count_if(is_near("near_anniversary")),
+        "annvcustomersales": lambda: _total(is_near("near_anniversary")),
+        "crosschannelbuyers": lambda: _first_focus_buyers(has_card, cfg),
+        "diamondenthusiasts": lambda: F.count_if(is_keyword_buyer()),
+        "activecustomers": lambda: F.count_if(is_active()),
     }
+    return measures[name]()
 
 
-def _entry_days(cfg: Config) -> dict[str, Column]:
+def _entry_day(name: str, cfg: Config) -> Column:
     """The day from which a card is in a state, null if never. Evaluated once per card."""
-    is_member = F.col("enrolled").isNotNull()
-    lapsed = first_after(F.col("last_day"), cfg.archive_months)  # null without any purchase
-    return {
-        "membersarchived": F.when(is_member, F.greatest(F.col("enrolled"), lapsed)),
-        "dormantcustomers": F.when(
-            F.col("holds_points"), first_after(F.col("last_focus_spend_day"), cfg.dormant_months)
-        ),
-        "lowpointbalancecustomers": F.col("low_points_since"),
-    }
+    if name == "membersarchived":
+        lapsed = first_after(F.col("last_day"), cfg.archive_months)  # null without any purchase
+        return F.when(F.col("enrolled").isNotNull(), F.greatest(F.col("enrolled"), lapsed))
+    if name == "dormantcustomers":
+        return F.when(F.col("holds_points"), first_after(F.col("last_focus_spend_day"), cfg.dormant_months))
+    return F.col("low_points_since")
 
 
 def activity_by_day(tables: Tables, cfg: Config, measures: Iterable[str] = ALL) -> DataFrame:
@@ -105,12 +127,12 @@ def activity_by_day(tables: Tables, cfg: Config, measures: Iterable[str] = ALL)
         # Members without purchases matter to the state measures only.
         how = "full" if states else "left"
         rows = rows.join(member_cards(tables.members, cfg), "card_no", how)
+        rows = rows.withColumns(_near_flags(set(asked), cfg))
 
     # Every row speaks for its own day; one row per card also speaks for the card's entry days.
-    entry_days = _entry_days(cfg)
     own = F.struct(F.lit(_DAY).alias("kind"), F.col("date").alias("day"))
     entries = [
-        F.struct(F.lit(name).alias("kind"), clamp_entry(entry_days[name], cfg.spine_start).alias("day"))
+        F.struct(F.lit(name).alias("kind"), clamp_entry(_entry_day(name, cfg), cfg.spine_start).alias("day"))
         for name in states
     ]
     if entries:
@@ -121,11 +143,14 @@ def activity_by_day(tables: Tables, cfg: Config, measures: Iterable[str] = ALL)
         rows = rows.withColumn("said", own)
 
     is_own = F.col("said.kind") == _DAY
-    aggregates = _day_measures(is_own, cfg) | {name: F.count_if(F.col("said.kind") == name) for name in states}
+    aggregates = [
+        F.count_if(F.col("said.kind") == name) if name in states else _day_measure(name, is_own, cfg)
+        for name in asked
+    ]
     focus_day = F.bool_or(is_own & F.coalesce("in_focus", F.lit(False)))
     return (
         rows.filter(F.col("said.day").isNotNull())
         .groupBy(F.col("said.day").alias("said_for"))
-        .agg(*[aggregates[name].alias(name) for name in asked], focus_day.alias(FOCUS_DAY))
+        .agg(*[column.alias(name) for name, column in zip(asked, aggregates)], focus_day.alias(FOCUS_DAY))
         .withColumnRenamed("said_for", "date")
     )

@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame
 from daybook.config import Config
 from daybook.functions.headers import as_text, standardise_headers
 from daybook.plans.daily import daily
-from daybook.sources.tables import clean_tables
+from daybook.sources.tables import Tables
 from daybook.sources.writers import write_csv, write_parquet, write_snapshot
 
 
 def daily_job(members: DataFrame, transactions: DataFrame, campaigns: DataFrame, cfg: Config, path: str) -> None:
     """Raw tables to the consolidated frame, written over the last one."""
-    write_parquet(daily(clean_tables(members, transactions, campaigns, cfg), cfg), path)
+    write_parquet(daily(Tables(members, transactions, campaigns, cfg), cfg), path)
 
 
 def snapshot_job(table: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = ()) -> int:

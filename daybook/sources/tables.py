@@ -2,21 +2,42 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
 from daybook.config import Config
 from daybook.functions import dates, ids, numbers
 
+RawTable = DataFrame | Callable[[], DataFrame]
+
 
-@dataclass(frozen=True)
 class Tables:
-    """Cleaned inputs of the daily measures."""
+    """Cleaned inputs of the daily measures.
+
+    A raw table may be given as a function, which is called when a measure first needs the table.
+    """
+
+    def __init__(self, members: RawTable, transactions: RawTable, campaigns: RawTable, cfg: Config) -> None:
+        self._members, self._transactions, self._campaigns = members, transactions, campaigns
+        self._cfg = cfg
+
+    @cached_property
+    def members(self) -> DataFrame:
+        return clean_members(_raw(self._members), self._cfg)
+
+    @cached_property
+    def transactions(self) -> DataFrame:
+        return clean_transactions(_raw(self._transactions), self._cfg)
 
-    members: DataFrame
-    transactions: DataFrame
-    campaigns: DataFrame
+    @cached_property
+    def campaigns(self) -> DataFrame:
+        return clean_campaigns(_raw(self._campaigns), self._cfg)
+
+
+def _raw(table: RawTable) -> DataFrame:
+    return table if isinstance(table, DataFrame) else table()
 
 
 def _column(raw: DataFrame, name: str):
@@ -75,9 +96,13 @@ def clean_campaigns(raw: DataFrame, cfg: Config) -> DataFrame:
     def label(name):
         return F.col(f"`{names[name]}`").alias(name)
 
+    # The literal variant counts campaigns by another reading of the date than it adds them up.
+    is_counted = F.lit(True)
+    if cfg.literal:
+        is_counted = dates.deployment_day_whole_text(deployed, deployed_type, cfg).isNotNull()
     return raw.select(
         dates.deployment_day(deployed, deployed_type, cfg).alias("deploy_date"),
-        dates.deployment_day_whole_text(deployed, deployed_type, cfg).isNotNull().alias("is_counted"),
+        is_counted.alias("is_counted"),
         count("target_count"),
         count("buyers"),
         figure("incremental_rev"),
@@ -87,11 +112,3 @@ def clean_campaigns(raw: DataFrame, cfg: Config) -> DataFrame:
         label("brand"),
         label("region"),
     ).filter(F.col("deploy_date").isNotNull())
-
-
-def clean_tables(members: DataFrame, transactions: DataFrame, campaigns: DataFrame, cfg: Config) -> Tables:
-    return Tables(
-        members=clean_members(members, cfg),
-        transactions=clean_transactions(transactions, cfg),
-        campaigns=clean_campaigns(campaigns, cfg),
-    )

@@ -12,7 +12,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook import Config, Tables, clean_tables
+from daybook import Config, Tables
 
 CONFIG = Config(
     spine_start=dt.date(1996, 1, 1),
@@ -104,6 +104,9 @@ def raw_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tables(spark: SparkSession, sf_dir: str, cfg: Config = CONFIG) -> Tables:
-    return clean_tables(
-        raw_members(spark, sf_dir), raw_transactions(spark, sf_dir), raw_campaigns(spark, sf_dir), cfg
+    return Tables(
+        lambda: raw_members(spark, sf_dir),
+        lambda: raw_transactions(spark, sf_dir),
+        lambda: raw_campaigns(spark, sf_dir),
+        cfg,
     )
