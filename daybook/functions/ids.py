@@ -18,7 +18,8 @@ def clean_id(value: Column, data_type: T.DataType, cfg: Config) -> Column:
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
         # A whole double prints as 1.2345678E7; go through a decimal to keep all its digits.
         whole = value.try_cast("decimal(38,0)")
-        text = F.when(whole.cast("double") == value, whole.cast("string")).otherwise(text)
+        is_whole = whole.cast("double") == value
+        text = F.when(is_whole, whole.cast("string")).when(~F.isnan(value), text)
     text = F.trim(text)
     without_suffix = F.substr(text, F.lit(1), F.length(text) - len(_SUFFIX))
     return (

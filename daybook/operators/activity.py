@@ -55,16 +55,18 @@ def _total(condition: Column) -> Column:
     return F.sum(F.when(condition, F.col("amount"))).cast("double")
 
 
-def _first_focus_buyers(has_card: Column, cfg: Config) -> Column:
+def first_focus_reasons(cfg: Config) -> Column:
+    """How many reasons a card has to count as a cross-channel buyer on its first focus-channel day.
+
+    Bought elsewhere before, or enrolled before: one reason at most, unless the literal results are
+    wanted, which count a card with both reasons twice.
+    """
     first_focus = F.col("first_focus_day")
     bought_elsewhere = F.coalesce(F.col("first_elsewhere_day") < first_focus, F.lit(False))
     enrolled_before = F.coalesce(F.col("enrolled") < first_focus, F.lit(False))
     if cfg.literal:
-        # A card with both reasons is counted twice.
-        reasons = bought_elsewhere.cast("int") + enrolled_before.cast("int")
-    else:
-        reasons = (bought_elsewhere | enrolled_before).cast("int")
-    return F.sum(F.when(has_card & (F.col("date") == first_focus), reasons))
+        return bought_elsewhere.cast("int") + enrolled_before.cast("int")
+    return (bought_elsewhere | enrolled_before).cast("int")
 
 
 def _day_measure(name: str, is_own: Column, cfg: Config) -> Column:
@@ -80,6 +82,9 @@ def _day_measure(name: str, is_own: Column, cfg: Config) -> Column:
     def is_near(flag):
         return has_card & F.col(flag)
 
+    def is_first_in_focus():
+        return has_card & (F.col("date") == F.col("first_focus_day"))
+
     def is_keyword_buyer():
         return has_card & F.col("keyword_in_focus") & F.col("enrolled").isNotNull()
 
@@ -97,7 +102,7 @@ def _day_measure(name: str, is_own: Column, cfg: Config) -> Column:
         "birthdaycustomersales": lambda: _total(is_near("near_birthday")),
         "anncustomercount": lambda: F.count_if(is_near("near_anniversary")),
         "annvcustomersales": lambda: _total(is_near("near_anniversary")),
-        "crosschannelbuyers": lambda: _first_focus_buyers(has_card, cfg),
+        "crosschannelbuyers": lambda: F.sum(F.when(is_first_in_focus(), first_focus_reasons(cfg))),
         "diamondenthusiasts": lambda: F.count_if(is_keyword_buyer()),
         "activecustomers": lambda: F.count_if(is_active()),
     }

@@ -3,18 +3,24 @@
 Measures of a day's events have rows only for days with something to report. Measures of a state
 (``members_archived``, ``dormant_customers``, ``low_point_balance_customers``) and of the calendar
 (birthdays and anniversaries per day, base) have one row per day of the calendar.
+
+Each measure is planned on its own: it filters first and shuffles as little as it can, mostly one
+row per card, or per card and day, combined on the map side. ``plans.daily`` computes all of them in
+one pass instead. Member cards are made unique before a join, so a card that holds many member rows
+never meets many purchases in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from daybook.config import Config
-from daybook.operators.activity import activity_by_day
+from daybook.functions.dates import first_after
+from daybook.operators.activity import activity_by_day, first_focus_reasons
 from daybook.operators.base import base_on
 from daybook.operators.campaigns import LABELS, campaigns_by_day
 from daybook.operators.members import enrolled_by_day, events_on_calendar
-from daybook.operators.population import running_total
+from daybook.operators.population import population_by_day
 from daybook.operators.spine import date_spine, spine_bounds
 from daybook.sources.tables import Tables
 
@@ -23,6 +29,25 @@ def _spine(tables: Tables, cfg: Config) -> DataFrame:
     return date_spine(spine_bounds(tables, cfg))
 
 
+def _purchases(tables: Tables) -> DataFrame:
+    """Purchases with a card."""
+    return tables.transactions.filter(F.col("card_no").isNotNull()).withColumnRenamed("invoice_date", "date")
+
+
+def _in_focus(cfg: Config) -> Column:
+    return F.lower("channel") == cfg.focus_channel
+
+
+def _enrolled_cards(tables: Tables) -> DataFrame:
+    """One row per member card with its first enrollment date."""
+    members = tables.members.filter(F.col("card_no").isNotNull())
+    return members.groupBy("card_no").agg(F.min("enrollment_date").alias("enrolled"))
+
+
+def _count_rows(rows: DataFrame, name: str) -> DataFrame:
+    return rows.groupBy("date").agg(F.count("*").alias(name))
+
+
 def _count(tables: Tables, cfg: Config, name: str) -> DataFrame:
     return activity_by_day(tables, cfg, [name]).select("date", name).filter(F.col(name) > 0)
 
@@ -31,14 +56,14 @@ def _sum(tables: Tables, cfg: Config, name: str) -> DataFrame:
     return activity_by_day(tables, cfg, [name]).select("date", name).filter(F.col(name).isNotNull())
 
 
-def _state(tables: Tables, cfg: Config, name: str) -> DataFrame:
-    entries = activity_by_day(tables, cfg, [name]).select("date", name)
-    return _spine(tables, cfg).join(entries, "date", "left").select("date", running_total(name).alias(name))
+def _state(entries: DataFrame, tables: Tables, cfg: Config, name: str) -> DataFrame:
+    return population_by_day(entries, _spine(tables, cfg), cfg.spine_start, name)
 
 
 def new_customers(tables: Tables, cfg: Config) -> DataFrame:
     """Cards whose first purchase ever is on the day."""
-    return _count(tables, cfg, "newcustomercount")
+    first_days = _purchases(tables).groupBy("card_no").agg(F.min("date").alias("date"))
+    return _count_rows(first_days, "newcustomercount")
 
 
 def repeat_customers(tables: Tables, cfg: Config) -> DataFrame:
@@ -48,7 +73,8 @@ def repeat_customers(tables: Tables, cfg: Config) -> DataFrame:
 
 def total_customers(tables: Tables, cfg: Config) -> DataFrame:
     """Cards that buy on the day."""
-    return _count(tables, cfg, "totalcustomertransactions")
+    bought = _purchases(tables).select("card_no", "date").distinct()
+    return _count_rows(bought, "totalcustomertransactions")
 
 
 def new_customer_sales(tables: Tables, cfg: Config) -> DataFrame:
@@ -63,7 +89,8 @@ def repeat_customer_sales(tables: Tables, cfg: Config) -> DataFrame:
 
 def transacted_sales(tables: Tables, cfg: Config) -> DataFrame:
     """All amount of the day with a card."""
-    return _sum(tables, cfg, "transactedcustomersales")
+    total = F.sum("amount").cast("double").alias("transactedcustomersales")
+    return _purchases(tables).filter(F.col("amount").isNotNull()).groupBy("date").agg(total)
 
 
 def birthday_customers(tables: Tables, cfg: Config) -> DataFrame:
@@ -106,34 +133,64 @@ def enrolled_customers(tables: Tables, cfg: Config) -> DataFrame:
 def members_archived(tables: Tables, cfg: Config) -> DataFrame:
     """Member cards enrolled by the day that never bought, or whose last purchase of all is more
     than ``archive_months`` before the day."""
-    return _state(tables, cfg, "membersarchived")
+    last_days = _purchases(tables).groupBy("card_no").agg(F.max("date").alias("last_day"))
+    members = _enrolled_cards(tables).join(last_days, "card_no", "left")
+    lapsed = first_after(F.col("last_day"), cfg.archive_months)  # null without any purchase
+    entries = members.select("card_no", F.greatest("enrolled", lapsed).alias("entry"))
+    return _state(entries, tables, cfg, "membersarchived")
 
 
 def cross_channel_buyers(tables: Tables, cfg: Config) -> DataFrame:
     """Cards whose first focus-channel purchase is on the day, and that bought in another channel
     or enrolled before it."""
-    return _count(tables, cfg, "crosschannelbuyers")
+    name, day = "crosschannelbuyers", F.col("date")
+    buyers = (
+        _purchases(tables)
+        .groupBy("card_no")
+        .agg(
+            F.min(F.when(_in_focus(cfg), day)).alias("first_focus_day"),
+            F.min(F.when(F.lower("channel") != cfg.focus_channel, day)).alias("first_elsewhere_day"),
+        )
+        .filter(F.col("first_focus_day").isNotNull())
+        .join(_enrolled_cards(tables), "card_no", "left")
+    )
+    per_day = buyers.groupBy(F.col("first_focus_day").alias("date")).agg(F.sum(first_focus_reasons(cfg)).alias(name))
+    return per_day.filter(F.col(name) > 0)
 
 
 def keyword_buyers(tables: Tables, cfg: Config) -> DataFrame:
     """Member cards that buy a keyword category in the focus channel."""
-    return _count(tables, cfg, "diamondenthusiasts")
+    is_keyword = F.lower("category").contains(cfg.category_keyword)
+    bought = _purchases(tables).filter(_in_focus(cfg) & is_keyword).select("card_no", "date").distinct()
+    member_cards = tables.members.select("card_no").distinct()
+    return _count_rows(bought.join(member_cards, "card_no", "left_semi"), "diamondenthusiasts")
 
 
 def dormant_customers(tables: Tables, cfg: Config) -> DataFrame:
     """Member cards above the point threshold whose last focus-channel purchase with an amount is
     more than ``dormant_months`` before the day."""
-    return _state(tables, cfg, "dormantcustomers")
+    spent = _purchases(tables).filter(_in_focus(cfg) & F.col("is_nonzero"))
+    last_days = spent.groupBy("card_no").agg(F.max("date").alias("last_day"))
+    holders = tables.members.filter(F.col("point_balance") > cfg.point_threshold).select("card_no").distinct()
+    entries = last_days.join(holders, "card_no", "left_semi").select(
+        "card_no", first_after(F.col("last_day"), cfg.dormant_months).alias("entry")
+    )
+    return _state(entries, tables, cfg, "dormantcustomers")
 
 
 def low_point_balance_customers(tables: Tables, cfg: Config) -> DataFrame:
     """Member cards below the point threshold, enrolled by the day."""
-    return _state(tables, cfg, "lowpointbalancecustomers")
+    low = tables.members.filter(F.col("point_balance") < cfg.point_threshold)
+    entries = low.select("card_no", F.col("enrollment_date").alias("entry"))
+    return _state(entries, tables, cfg, "lowpointbalancecustomers")
 
 
 def active_customers(tables: Tables, cfg: Config) -> DataFrame:
     """Member cards with a purchase with an amount in a program channel, on or after enrollment."""
-    return _count(tables, cfg, "activecustomers")
+    in_program = F.lower("channel").isin(*cfg.program_channels)
+    bought = _purchases(tables).filter(in_program & F.col("is_nonzero")).select("card_no", "date").distinct()
+    active = bought.join(_enrolled_cards(tables), "card_no").filter(F.col("date") >= F.col("enrolled"))
+    return _count_rows(active, "activecustomers")
 
 
 def campaigns_deployed(tables: Tables, cfg: Config) -> DataFrame:
