@@ -32,27 +32,28 @@ ALL = SALES + MEMBER + STATE
 
 # Name of the column that marks the days on which the calendar may end.
 FOCUS_DAY = "is_focus_day"
-_DAY = "day"
 
+# What a row speaks for: a card's purchases on its own day, purchases without a card, or (under the
+# name of a state measure) the day on which a card enters a state.
+_PURCHASE = "purchase"
+_NO_CARD = "no card"
 
-def _near_flags(asked: set[str], cfg: Config) -> dict[str, Column]:
-    """Whether the day lies near any of the card's events: worked out once, used by a count and a sum."""
-    flags = {
-        "near_birthday": ("birthdays", {"birthdaycustomercount", "birthdaycustomersales"}),
-        "near_anniversary": ("anniversaries", {"anncustomercount", "annvcustomersales"}),
-    }
-
-    def near(events):
-        if cfg.literal:
-            # The replaced job loses the day of these purchases, so none ever reaches the calendar.
-            return F.lit(False)
-        return F.exists(events, lambda event: near_event(F.col("date"), event, cfg))
-
-    return {flag: near(events) for flag, (events, users) in flags.items() if users & asked}
+# Facts about a card-day that split both its card count and its amount.
+_SPLITS = {
+    "is_first": {"newcustomercount", "repeatcustomercount", "newcustomersales", "repeatcustomersales"},
+    "near_birthday": {"birthdaycustomercount", "birthdaycustomersales"},
+    "near_anniversary": {"anncustomercount", "annvcustomersales"},
+}
 
 
-def _total(condition: Column) -> Column:
-    return F.sum(F.when(condition, F.col("amount"))).cast("double")
+def _split(name: str, cfg: Config) -> Column:
+    if name == "is_first":
+        return F.col("date") == F.col("first_day")
+    if cfg.literal:
+        # The replaced job loses the day of purchases near an event, so none reaches the calendar.
+        return F.lit(False)
+    events = {"near_birthday": "birthdays", "near_anniversary": "anniversaries"}[name]
+    return F.coalesce(F.exists(events, lambda event: near_event(F.col("date"), event, cfg)), F.lit(False))
 
 
 def first_focus_reasons(cfg: Config) -> Column:
@@ -69,46 +70,6 @@ def first_focus_reasons(cfg: Config) -> Column:
     return (bought_elsewhere | enrolled_before).cast("int")
 
 
-def _day_measure(name: str, is_own: Column, cfg: Config) -> Column:
-    """Aggregate over card-days, per day. A card has one row per day, so counting rows counts cards."""
-    has_card = is_own & F.col("card_no").isNotNull()
-
-    def is_first():
-        return has_card & (F.col("date") == F.col("first_day"))
-
-    def is_later():
-        return has_card & (F.col("date") > F.col("first_day"))
-
-    def is_near(flag):
-        return has_card & F.col(flag)
-
-    def is_first_in_focus():
-        return has_card & (F.col("date") == F.col("first_focus_day"))
-
-    def is_keyword_buyer():
-        return has_card & F.col("keyword_in_focus") & F.col("enrolled").isNotNull()
-
-    def is_active():
-        return has_card & F.col("spent_in_program") & (F.col("date") >= F.col("enrolled"))
-
-    measures = {
-        "newcustomercount": lambda: F.count_if(is_first()),
-        "repeatcustomercount": lambda: F.count_if(is_later()),
-        "totalcustomertransactions": lambda: F.count_if(has_card),
-        "newcustomersales": lambda: _total(is_first()),
-        "repeatcustomersales": lambda: _total(is_later()),
-        "transactedcustomersales": lambda: _total(has_card),
-        "birthdaycustomercount": lambda: F.count_if(is_near("near_birthday")),
-        "birthdaycustomersales": lambda: _total(is_near("near_birthday")),
-        "anncustomercount": lambda: F.count_if(is_near("near_anniversary")),
-        "annvcustomersales": lambda: _total(is_near("near_anniversary")),
-        "crosschannelbuyers": lambda: F.sum(F.when(is_first_in_focus(), first_focus_reasons(cfg))),
-        "diamondenthusiasts": lambda: F.count_if(is_keyword_buyer()),
-        "activecustomers": lambda: F.count_if(is_active()),
-    }
-    return measures[name]()
-
-
 def _entry_day(name: str, cfg: Config) -> Column:
     """The day from which a card is in a state, null if never. Evaluated once per card."""
     if name == "membersarchived":
@@ -119,6 +80,35 @@ def _entry_day(name: str, cfg: Config) -> Column:
     return F.col("low_points_since")
 
 
+def _day_measure(name: str) -> Column:
+    """Aggregate over the splits of a day. A card has one row per day, so rows are cards."""
+    is_purchase = F.col("kind") == _PURCHASE
+
+    def cards(condition):
+        return F.sum(F.when(is_purchase & condition, F.col("cards")))
+
+    def total(condition):
+        return F.sum(F.when(is_purchase & condition, F.col("amount"))).cast("double")
+
+    measures = {
+        "newcustomercount": lambda: cards(F.col("is_first")),
+        "repeatcustomercount": lambda: cards(~F.col("is_first")),
+        "totalcustomertransactions": lambda: cards(F.lit(True)),
+        "newcustomersales": lambda: total(F.col("is_first")),
+        "repeatcustomersales": lambda: total(~F.col("is_first")),
+        "transactedcustomersales": lambda: total(F.lit(True)),
+        "birthdaycustomercount": lambda: cards(F.col("near_birthday")),
+        "birthdaycustomersales": lambda: total(F.col("near_birthday")),
+        "anncustomercount": lambda: cards(F.col("near_anniversary")),
+        "annvcustomersales": lambda: total(F.col("near_anniversary")),
+    }
+    if name in measures:
+        return measures[name]()
+    if name in STATE:
+        return F.sum(F.when(F.col("kind") == name, F.col("cards")))
+    return F.sum(F.when(is_purchase, F.col(name)))
+
+
 def activity_by_day(tables: Tables, cfg: Config, measures: Iterable[str] = ALL) -> DataFrame:
     """One row per day with the asked measures and ``is_focus_day``.
 
@@ -127,35 +117,47 @@ def activity_by_day(tables: Tables, cfg: Config, measures: Iterable[str] = ALL)
     """
     asked = list(measures)
     states = [name for name in STATE if name in asked]
+    splits = [name for name, users in _SPLITS.items() if users & set(asked)]
     rows = with_history(card_days(tables.transactions, cfg))
     if set(asked) & set(MEMBER + STATE):
         # Members without purchases matter to the state measures only.
         how = "full" if states else "left"
         rows = rows.join(member_cards(tables.members, cfg), "card_no", how)
-        rows = rows.withColumns(_near_flags(set(asked), cfg))
 
     # Every row speaks for its own day; one row per card also speaks for the card's entry days.
-    own = F.struct(F.lit(_DAY).alias("kind"), F.col("date").alias("day"))
+    own_kind = F.when(F.col("card_no").isNull(), _NO_CARD).otherwise(_PURCHASE)
+    own = F.struct(own_kind.alias("kind"), F.col("date").alias("on"))
     entries = [
-        F.struct(F.lit(name).alias("kind"), clamp_entry(_entry_day(name, cfg), cfg.spine_start).alias("day"))
+        F.struct(F.lit(name).alias("kind"), clamp_entry(_entry_day(name, cfg), cfg.spine_start).alias("on"))
         for name in states
     ]
-    if entries:
-        speaks_for_card = F.col("date").isNull() | (F.col("date") == F.col("first_day"))
-        said = F.explode(F.when(speaks_for_card, F.array(own, *entries)).otherwise(F.array(own)))
-        rows = rows.withColumn("said", said)
-    else:
-        rows = rows.withColumn("said", own)
-
-    is_own = F.col("said.kind") == _DAY
-    aggregates = [
-        F.count_if(F.col("said.kind") == name) if name in states else _day_measure(name, is_own, cfg)
-        for name in asked
-    ]
-    focus_day = F.bool_or(is_own & F.coalesce("in_focus", F.lit(False)))
-    return (
-        rows.filter(F.col("said.day").isNotNull())
-        .groupBy(F.col("said.day").alias("said_for"))
-        .agg(*[column.alias(name) for name, column in zip(asked, aggregates)], focus_day.alias(FOCUS_DAY))
-        .withColumnRenamed("said_for", "date")
+    speaks_for_card = F.col("date").isNull() | (F.col("date") == F.col("first_day"))
+    spoken = F.when(speaks_for_card, F.array(own, *entries)).otherwise(F.array(own)) if entries else F.array(own)
+    rows = rows.withColumns({name: _split(name, cfg) for name in splits}).select("*", F.inline(spoken))
+
+    # One amount and one count per split, instead of a sum per measure over all rows: a day has at
+    # most a handful of splits, and adding up decimals is the dearest part of the pass.
+    is_member = F.col("enrolled").isNotNull()
+    flags = {
+        "crosschannelbuyers": lambda: F.sum(
+            F.when(F.col("date") == F.col("first_focus_day"), first_focus_reasons(cfg)).otherwise(0)
+        ),
+        "diamondenthusiasts": lambda: F.count_if(F.col("keyword_in_focus") & is_member),
+        "activecustomers": lambda: F.count_if(F.col("spent_in_program") & (F.col("date") >= F.col("enrolled"))),
+    }
+    per_split = (
+        rows.filter(F.col("on").isNotNull())
+        .groupBy("on", "kind", *splits)
+        .agg(
+            F.count("*").alias("cards"),
+            F.sum("amount").alias("amount"),
+            F.bool_or(F.coalesce("in_focus", F.lit(False))).alias("in_focus"),
+            *[column().alias(name) for name, column in flags.items() if name in asked],
+        )
+    )
+    is_focus_day = F.bool_or(F.col("in_focus") & F.col("kind").isin(_PURCHASE, _NO_CARD))
+    per_day = per_split.groupBy(F.col("on").alias("date")).agg(
+        *[_day_measure(name).alias(name) for name in asked], is_focus_day.alias(FOCUS_DAY)
     )
+    counts = [name for name in asked if not name.endswith("sales")]
+    return per_day.fillna(0, subset=counts)
