@@ -9,7 +9,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daybook import daily
-from daybook.config import TRANSACTION_DECLARED, TRANSACTION_EXPORT
 from daybook.functions import dates, ids, numbers
 from daybook.operators import kpis
 from daybook.operators.cards import card_days
@@ -31,7 +30,7 @@ DIGITS = {
     "sale_value_1": 2, "conversion_1": 6,
 }
 
-# Query -> (function, name of its SQL, measures).
+# Query -> function, name of its SQL, and its columns where they are more than that name.
 MEASURES = {
     "q_m01_new_customers": (kpis.new_customers, "newcustomercount"),
     "q_m02_repeat_customers": (kpis.repeat_customers, "repeatcustomercount"),
@@ -143,16 +142,16 @@ def guarded_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["target_count", "buyers", "incremental_rev", "sale_value_1", "conversion_1"]
     return raw_campaigns(spark, sf_dir).select(
         *columns,
-        numbers.guarded_int(F.col("target_count")).alias("targets"),
-        numbers.guarded_int(F.col("buyers"), "null").alias("buyers_or_null"),
+        numbers.guarded_int(F.col("target_count")).cast("double").alias("targets"),
+        numbers.guarded_int(F.col("buyers"), "null").cast("double").alias("buyers_or_null"),
         *[numbers.guarded_decimal(F.col(name), "double").alias(f"{name}_number") for name in columns[2:]],
     )
 
 
 GUARDED_NUMBERS_SQL = f"""
     SELECT target_count, buyers, incremental_rev, sale_value_1, conversion_1,
-           {oracles.whole('target_count')} AS targets,
-           CASE WHEN regexp_full_match(trim(buyers), '[0-9]+') THEN CAST(trim(buyers) AS INT) END AS buyers_or_null,
+           CAST({oracles.whole('target_count')} AS DOUBLE) AS targets,
+           CASE WHEN regexp_full_match(trim(buyers), '[0-9]+') THEN CAST(trim(buyers) AS DOUBLE) END AS buyers_or_null,
            CAST({oracles.figure('incremental_rev')} AS DOUBLE) AS incremental_rev_number,
            CAST({oracles.figure('sale_value_1')} AS DOUBLE) AS sale_value_1_number,
            CAST({oracles.figure('conversion_1')} AS DOUBLE) AS conversion_1_number
@@ -173,31 +172,23 @@ HEADER_SQL = """
 
 
 def conform_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_transactions(spark, sf_dir)
-    declared = {TRANSACTION_EXPORT[name]: column for name, column in TRANSACTION_DECLARED.items()}
-    return conform(raw.withColumnsRenamed(declared), transaction_schema())
+    """Order lines fitted to the declared transaction table: its types, and a column they lack."""
+    names = {
+        "l_orderkey": "TransactionId", "l_linenumber": "id", "l_partkey": "storecode", "l_quantity": "QTY",
+        "l_extendedprice": "shopping_amount", "l_discount": "discountheader", "l_shipdate": "invoice_date",
+        "l_returnflag": "channel", "l_linestatus": "brand", "l_tax": "not_declared",
+    }
+    lines = _read(spark, sf_dir, "lineitem").select(*names).withColumnsRenamed(names)
+    fitted = [name for name in transaction_schema().names if name in {n.lower() for n in names.values()}]
+    return conform(lines, transaction_schema()).select(*fitted, "remarks")
 
 
-def _conform_sql() -> str:
-    read = {
-        "cardno": "card_no",
-        "invoice_date": oracles.day("invoice_date"),
-        "channel": "channel",
-        "category": "category",
-        "eligible_amount": "TRY_CAST(eligible_amt AS DECIMAL(15,4))",
-    }
-    text = (
-        "transactionid oldloyaltyid tiername invoice_no brand storecode campaignname currencysymbol remarkstype "
-        "remarks earned_invoicenumber earned_channel earned_outlet"
-    ).split()
-    empty = dict.fromkeys(text, "VARCHAR") | {
-        "id": "INT", "rewardpostingdate": "DATE", "qty": "BIGINT", "shopping_amount": "DECIMAL(15,3)",
-        "earn": "DECIMAL(15,4)", "spent": "DECIMAL(15,4)", "discountheader": "DECIMAL(15,5)",
-        "earned_invoicedate": "DATE", "earned_lineitemnumber": "DECIMAL(15,5)",
-    }
-    columns = [f"{sql} AS {name}" for name, sql in read.items()]
-    columns += [f"CAST(NULL AS {data_type}) AS {name}" for name, data_type in empty.items()]
-    return f"SELECT {', '.join(columns)} FROM ({oracles.RAW_TRANSACTIONS}) AS raw_transactions"
+CONFORM_SQL = """
+    SELECT l_linenumber AS id, CAST(l_orderkey AS VARCHAR) AS transactionid, CAST(l_shipdate AS DATE) AS invoice_date,
+           l_returnflag AS channel, l_linestatus AS brand, CAST(l_quantity AS BIGINT) AS qty,
+           CAST(l_partkey AS VARCHAR) AS storecode, CAST(l_extendedprice AS DECIMAL(15,3)) AS shopping_amount,
+           CAST(l_discount AS DECIMAL(15,5)) AS discountheader, CAST(NULL AS VARCHAR) AS remarks
+    FROM lineitem"""
 
 
 def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,14 +224,14 @@ def event_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.join(members, "card_no").select(
         "card_no", "day", "dob", "anniversary",
         dates.event_in_year(dob, F.year(day)).alias("birthday"),
-        dates.event_gap(day, dob).alias("gap"),
+        dates.event_gap(day, dob).cast("double").alias("gap"),
         dates.near_event(day, dob, CONFIG).alias("is_near"),
         dates.event_in_year_capped(anniversary, F.year(day)).alias("literal_anniversary"),
     )
 
 
 EVENT_WINDOW_SQL = oracles.with_clean("""
-    SELECT card_no, day, dob, anniversary, birthday, CAST(date_diff('day', birthday, day) AS INT) AS gap,
+    SELECT card_no, day, dob, anniversary, birthday, CAST(date_diff('day', birthday, day) AS DOUBLE) AS gap,
            date_diff('day', birthday, day) BETWEEN -15 AND 15 AS is_near, literal_anniversary
     FROM (SELECT DISTINCT t.card AS card_no, t.day, m.dob, m.anniversary,
                  make_date(year(t.day), month(m.dob),
@@ -309,7 +300,7 @@ QUERIES: dict[str, tuple[Query, str]] = {
     "q_event_window": (event_window, EVENT_WINDOW_SQL),
     "q_month_threshold": (month_threshold, MONTH_THRESHOLD_SQL),
     "q_header_standardise": (header_standardise, HEADER_SQL),
-    "q_conform": (conform_transactions, _conform_sql()),
+    "q_conform": (conform_transactions, CONFORM_SQL),
     "q_snapshot_roundtrip": (snapshot_roundtrip, SNAPSHOT_SQL),
     "q_csv_roundtrip": (csv_roundtrip, CSV_SQL),
 }
