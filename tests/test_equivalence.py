@@ -10,7 +10,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from daybook import daily
+from daybook import Tables, daily
 from daybook.operators.population import population_by_day
 from daybook.operators.spine import calendarise, date_spine, spine_bounds
 from tests import small
@@ -103,6 +103,16 @@ def test_every_card_is_new_once(spark):
     assert sum(small.by_day(daily(tables, cfg), "newcustomercount").values()) == first_days.count()
 
 
+def test_result_does_not_depend_on_partitions(spark):
+    """Bit for bit the same, whatever order and split the rows come in."""
+    raw = small.raw(spark, **random_rows(7))
+    results = []
+    for parts in (1, 5, 13):
+        tables = Tables(*[frame.repartition(parts, F.rand(parts)) for frame in raw], CONFIG)
+        results.append(sorted(daily(tables, CONFIG).collect()))
+    assert results[0] == results[1] == results[2]
+
+
 # --- brute force over Python rows, straight from the definitions ------------------------------
 
 

@@ -51,15 +51,17 @@ SELECT CASE WHEN o_orderkey % 89 = 4 THEN 'None'
             WHEN o_orderkey % 53 = 8 THEN concat(' ', o_custkey, ' ')
             ELSE concat('', o_custkey) END AS card_no,
        CASE WHEN o_orderkey % 101 = 9 AND l_linenumber = 1 THEN 'not a date'
-            WHEN l_linenumber = 3 THEN concat(CAST(CAST(o_orderdate AS DATE) AS VARCHAR(10)), 'T10:00:00')
-            ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR(10)) END AS invoice_date,
+            WHEN l_linenumber = 3 THEN concat(day, 'T10:00:00') ELSE day END AS invoice_date,
        CASE o_orderpriority WHEN '1-URGENT' THEN 'Store' WHEN '2-HIGH' THEN 'club'
             WHEN '3-MEDIUM' THEN 'CLUBWEB' WHEN '4-NOT SPECIFIED' THEN 'shopweb' ELSE 'kiosk' END AS channel,
        p_type AS category,
        CASE WHEN l_linenumber % 5 = 0 THEN '0' WHEN l_linenumber % 7 = 0 THEN NULL
             WHEN l_quantity = 1 THEN '0.5' WHEN l_orderkey % 9973 = 3 THEN 'nan'
             ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR(24)) END AS eligible_amt
-FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {part} ON l_partkey = p_partkey
+FROM {lineitem}
+JOIN (SELECT *, CAST(CAST(o_orderdate AS DATE) AS VARCHAR(10)) AS day FROM {orders}) AS dated
+  ON l_orderkey = o_orderkey
+JOIN {part} ON l_partkey = p_partkey
 """
 CAMPAIGNS = """
 SELECT CASE event_id % 8
