@@ -1,10 +1,10 @@
-"""The four jobs a user schedules. Each is a read, a transformation and one write."""
+"""The jobs a user schedules. Each is a read, a transformation and a write."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from daybook.config import Config
 from daybook.functions.headers import as_text, standardise_headers
@@ -12,12 +12,27 @@ from daybook.plans.daily import daily
 from daybook.sources.tables import Tables
 from daybook.sources.writers import write_csv, write_parquet, write_snapshot
 
+_TABLES = ("members", "transactions", "campaigns")
+
 
 def daily_job(members: DataFrame, transactions: DataFrame, campaigns: DataFrame, cfg: Config, path: str) -> None:
     """Raw tables to the consolidated frame, written over the last one."""
     write_parquet(daily(Tables(members, transactions, campaigns, cfg), cfg), path)
 
 
+def clean_job(members: DataFrame, transactions: DataFrame, campaigns: DataFrame, cfg: Config, path: str) -> None:
+    """The cleaned, typed tables as parquet, for when several jobs read them: text is parsed once
+    and later scans read a few compact columns."""
+    tables = Tables(members, transactions, campaigns, cfg)
+    for name in _TABLES:
+        write_parquet(getattr(tables, name), f"{path}/{name}")
+
+
+def read_clean(spark: SparkSession, path: str) -> Tables:
+    """The tables ``clean_job`` wrote."""
+    return Tables.from_clean(*[spark.read.parquet(f"{path}/{name}") for name in _TABLES])
+
+
 def snapshot_job(table: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = ()) -> int:
     """A copy of a table as parquet; returns the number of rows."""
     return write_snapshot(table, path, mode, partition_by)

@@ -23,6 +23,13 @@ class Tables:
         self._members, self._transactions, self._campaigns = members, transactions, campaigns
         self._cfg = cfg
 
+    @classmethod
+    def from_clean(cls, members: DataFrame, transactions: DataFrame, campaigns: DataFrame) -> Tables:
+        """Tables that are clean already, such as written copies of clean ones."""
+        tables = cls.__new__(cls)
+        tables.members, tables.transactions, tables.campaigns = members, transactions, campaigns
+        return tables
+
     @cached_property
     def members(self) -> DataFrame:
         return clean_members(_raw(self._members), self._cfg)

@@ -1,13 +1,16 @@
 """Sources, sinks, declared schemas and the four jobs."""
 
 import datetime as dt
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from daybook.plans.daily import COLUMNS, daily
-from daybook.plans.jobs import csv_job, daily_job, snapshot_job, standardise, text_parquet_job
+from daybook.plans.jobs import (
+    clean_job, csv_job, daily_job, read_clean, snapshot_job, standardise, text_parquet_job,
+)
 from daybook.sources.readers import jdbc_options, read_csv_export, read_files, read_table
 from daybook.sources.schemas import campaign_schema, conform, member_schema, transaction_schema
 from daybook.sources.writers import write_text_parquet
@@ -27,6 +30,15 @@ def test_daily_job_writes_over_the_last_result(spark, tmp_path):
     assert rows(written) == rows(daily(small.tables(spark), small.CONFIG))
 
 
+@pytest.mark.parametrize("semantics", ["corrected", "reference"])
+def test_daily_on_written_clean_tables(spark, tmp_path, semantics):
+    cfg = replace(small.CONFIG, semantics=semantics)
+    clean_job(*small.raw(spark), cfg, str(tmp_path))
+    clean = read_clean(spark, str(tmp_path))
+    assert dict(clean.transactions.dtypes)["invoice_date"] == "date"
+    assert rows(daily(clean, cfg)) == rows(daily(small.tables(spark, cfg), cfg))
+
+
 def test_snapshot_counts_while_it_writes_and_appends(spark, tmp_path):
     path, source = str(tmp_path / "snapshot"), spark.range(0, 1000, 1, 7).withColumn("part", F.col("id") % 3)
     assert snapshot_job(source, path) == 1000
