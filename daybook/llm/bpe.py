@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import as_bytes, id_and_text, slices
+from daybook.llm.common import as_bytes, id_and_text, map_arrow, slices
 
 #: Pieces that a task keeps with their ids.
 KEPT_PIECES = 300_000
@@ -191,7 +191,7 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
                 ["doc_id", "token_ids", "decoded"],
             )
 
-    return id_and_text(docs).mapInArrow(run, "doc_id long, token_ids binary, decoded string")
+    return map_arrow(id_and_text(docs), run, "doc_id long, token_ids binary, decoded string")
 
 
 def digests(encoded: DataFrame) -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+import zipfile
+from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a Python task works on at a time.
 SLICE_BYTES = 4 << 20
+SHIPPED: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -67,6 +70,25 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives this package to the Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in SHIPPED:
+        package = Path(__file__).resolve().parent.parent
+        archive = Path(tempfile.mkdtemp(prefix="daybook-")) / "daybook.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        SHIPPED.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """`mapInArrow` whose function may come from this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut so that each holds about `size` bytes of the column (or one longer row)."""
     for batch in batches:

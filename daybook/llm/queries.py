@@ -6,17 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import bpe
+from daybook.llm import bpe, simhash
 from daybook.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.component_ids(documents(spark, sf_dir))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(documents(spark, sf_dir), bpe.default_path()))
 
 
 QUERIES: dict[str, Query] = {
+    "op4_simhash": op4_simhash,
     "op9_bpe": op9_bpe,
 }
 

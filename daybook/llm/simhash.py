@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import as_bytes, fresh, settle, slices
+from daybook.llm.common import as_bytes, fresh, map_arrow, settle, slices
 from daybook.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, name: str = "fingerprint", words: int = SHINGL
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(found)], ["doc_id", "text_hash", name])
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, {name} long")
+    return map_arrow(rows, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, {name} long")
 
 
 def spanning(members: np.ndarray, max_bits: int = MAX_BITS) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -135,7 +135,7 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["src", "dst"])
 
     ordered = posted.repartition("list", "shared").sortWithinPartitions("list", "shared")
-    return ordered.mapInArrow(run, "src long, dst long").distinct()
+    return map_arrow(ordered, run, "src long, dst long").distinct()
 
 
 def mask_of(positions: tuple[int, ...]) -> int:
