@@ -83,7 +83,7 @@ def ship(spark: SparkSession) -> None:
         SHIPPED.add(context.applicationId)
 
 
-def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """`mapInArrow` whose function may come from this package."""
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)

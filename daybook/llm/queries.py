@@ -6,22 +6,33 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import bpe, simhash
+from daybook.llm import bpe, decontaminate, simhash, token_files
 from daybook.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(spark, documents(spark, sf_dir), bpe.default_path())
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.component_ids(documents(spark, sf_dir))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.judged(decontaminate.hits(documents(spark, sf_dir), benchmark))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(documents(spark, sf_dir), bpe.default_path()))
 
 
 QUERIES: dict[str, Query] = {
+    "op3_token_files": op3_token_files,
     "op4_simhash": op4_simhash,
+    "op7_decontaminate": op7_decontaminate,
     "op9_bpe": op9_bpe,
 }
 
