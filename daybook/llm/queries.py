@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import bpe, decontaminate, simhash, token_files
+from daybook.llm import bpe, decontaminate, quality, simhash, token_files
 from daybook.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    net = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.judged(quality.scores(docs, net))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(spark, documents(spark, sf_dir), bpe.default_path())
 
@@ -30,6 +36,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
     "op3_token_files": op3_token_files,
     "op4_simhash": op4_simhash,
     "op7_decontaminate": op7_decontaminate,
