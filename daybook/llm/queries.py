@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import bpe, decontaminate, quality, simhash, token_files
+from daybook.llm import bpe, decontaminate, quality, secrets, simhash, token_files
 from daybook.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,12 +35,17 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(documents(spark, sf_dir), bpe.default_path()))
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.scanned(spark, documents(spark, sf_dir)))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op3_token_files": op3_token_files,
     "op4_simhash": op4_simhash,
     "op7_decontaminate": op7_decontaminate,
     "op9_bpe": op9_bpe,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLES: dict[str, str] = {}
