@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import bpe, decontaminate, pii, quality, secrets, simhash, token_files
+from daybook.llm import bpe, decontaminate, lm, pii, quality, secrets, simhash, token_files
 from daybook.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.component_ids(documents(spark, sf_dir))
 
 
+def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(documents(spark, sf_dir))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return pii.digests(pii.spans(docs))
@@ -49,6 +53,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op3_token_files": op3_token_files,
     "op4_simhash": op4_simhash,
+    "op5_lm": op5_lm,
     "op6_pii": op6_pii,
     "op7_decontaminate": op7_decontaminate,
     "op9_bpe": op9_bpe,
