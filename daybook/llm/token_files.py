@@ -35,7 +35,9 @@ from daybook.llm.common import as_bytes, id_and_text, map_arrow, scratch, settle
 
 END_ID = 1
 LEVEL = 3
-KEPT_PIECES = 400_000
+KEPT_PIECES = 250_000
+#: ASCII punctuation but the apostrophe, which can begin a word.
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Of the public zstandard formats: two skippable frames, the seek table's closing mark, checksums present.
 INDEX_MAGIC, SEEK_MAGIC, SEEK_END, CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
 #: size and checksum fields of a frame, and the seek table's footer
@@ -49,7 +51,9 @@ class LibraryEncoder:
     """Encodes whole texts with the tokenizers library.
 
     No word, special token or composed character of the vocabulary reaches across ASCII white space, so
-    the ids of a text are those of its pieces; pieces that occur again are not encoded again.
+    the ids of a text are those of its pieces, and pieces that occur again are not encoded again. The
+    vocabulary ignores case and parts words from punctuation, so a piece that ends in ASCII punctuation has the ids of
+    its lower-cased core and of that ending, which occur more often. Two generations of pieces are kept.
     """
 
     def __init__(self, path: str, kept: int = KEPT_PIECES):
@@ -59,19 +63,38 @@ class LibraryEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.pieces: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def lookup(self, wanted: set[bytes]) -> None:
+        """Makes sure that all of them are kept."""
+        kept, older = self.pieces, self.older
+        kept.update([(p, older[p]) for p in wanted if p in older])
+        parts = {p: parted(p) for p in wanted if p not in kept}
+        new = list({x for pair in parts.values() for x in pair if x not in kept})
+        found = self.library.encode_batch_fast([x.decode("utf-8", "replace") for x in new], add_special_tokens=False)
+        kept.update([(x, np.array(e.ids, "<u4").tobytes()) for x, e in zip(new, found, strict=True)])
+        kept.update([(p, kept[core] + kept[ending]) for p, (core, ending) in parts.items()])
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if len(self.pieces) > self.kept:
-            self.pieces.clear()
+            self.older, self.pieces = self.pieces, {}
         cut = [t.split() for t in texts]
-        new = list({p for pieces in cut for p in pieces if p not in self.pieces})
-        if new:
-            found = self.library.encode_batch_fast([p.decode("utf-8", "replace") for p in new], add_special_tokens=False)
-            self.pieces.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(new, found, strict=True))
         kept = self.pieces
+        if wanted := {p for pieces in cut for p in pieces if p not in kept}:
+            self.lookup(wanted)
         return [b"".join([kept[p] for p in pieces]) for pieces in cut]
 
 
+def parted(piece: bytes) -> tuple[bytes, bytes]:
+    """A core and an ending (or none) whose ids, one after the other, are those of the piece."""
+    if b"<|" in piece:  # may hold a special token, whose case and marks count
+        return piece, b""
+    core = piece.rstrip(MARKS)
+    if core and core != piece and core[-1:].isalnum():
+        return core.lower(), piece[len(core) :]
+    return piece.lower(), b""
+
+
 @cache
 def library_encoder(path: str) -> LibraryEncoder:
     """One per Python worker, single-threaded: Spark runs the tasks."""
@@ -207,7 +230,8 @@ def read(manifest: DataFrame, wanted: list[int] | None = None) -> DataFrame:
                             rows, held = [], 0
                     yield batch_of(rows)
 
-    spread = shards.select("file", "base").repartition("file")
+    # a task per shard: by a stated number, which adaptive execution leaves as it is
+    spread = shards.select("file", "base").repartition(max(1, shards.count()), "file")
     return map_arrow(spread, run, "doc_id long, start long, token_ids binary")
 
 
