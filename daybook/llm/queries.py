@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import bpe, decontaminate, lm, pii, quality, secrets, simhash, token_files
+from daybook.llm import bpe, decontaminate, lm, pii, quality, secrets, simhash, token_files, topk
 from daybook.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,10 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judged(decontaminate.hits(documents(spark, sf_dir), benchmark))
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(documents(spark, sf_dir), bpe.default_path()))
 
@@ -56,8 +60,24 @@ QUERIES: dict[str, Query] = {
     "op5_lm": op5_lm,
     "op6_pii": op6_pii,
     "op7_decontaminate": op7_decontaminate,
+    "op8_topk": op8_topk,
     "op9_bpe": op9_bpe,
     "op10_secrets": op10_secrets,
 }
 
-ORACLES: dict[str, str] = {}
+OP8_SQL = """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5
+"""
+
+ORACLES: dict[str, str] = {"op8_topk": OP8_SQL}
