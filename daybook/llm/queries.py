@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import bpe, decontaminate, lm, pii, quality, secrets, simhash, token_files, topk
+from daybook.llm import bpe, decontaminate, license, lm, pii, quality, secrets, simhash, token_files, topk
 from daybook.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(quality.scores(docs, net))
 
 
+def op2_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.summary(license.scan(documents(spark, sf_dir)))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(spark, documents(spark, sf_dir), bpe.default_path())
 
@@ -55,6 +59,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
+    "op2_license": op2_license,
     "op3_token_files": op3_token_files,
     "op4_simhash": op4_simhash,
     "op5_lm": op5_lm,
