@@ -10,20 +10,21 @@ from daybook.config import Config
 _SUFFIX = ".0"
 
 
+def _without_suffix(text: Column) -> Column:
+    """The text without one ``.0`` at its end."""
+    shorter = F.substr(text, F.lit(1), F.length(text) - len(_SUFFIX))
+    return F.when(F.endswith(text, F.lit(_SUFFIX)), shorter).otherwise(text)
+
+
 def clean_id(value: Column, data_type: T.DataType, cfg: Config) -> Column:
-    """Text id without blanks around it and without one trailing ``.0``; null for a blank cell."""
-    if cfg.literal:
-        return F.trim(F.regexp_replace(value.cast("string"), r"\.0$", ""))
+    """Text id without one trailing ``.0`` and without blanks around it; null for a blank cell."""
     text = value.cast("string")
+    if cfg.literal:
+        return F.trim(_without_suffix(text))
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
         # A whole double prints as 1.2345678E7; go through a decimal to keep all its digits.
         whole = value.try_cast("decimal(38,0)")
         is_whole = whole.cast("double") == value
         text = F.when(is_whole, whole.cast("string")).when(~F.isnan(value), text)
-    text = F.trim(text)
-    without_suffix = F.substr(text, F.lit(1), F.length(text) - len(_SUFFIX))
-    return (
-        F.when(text.isin(*cfg.null_tokens, _SUFFIX), None)
-        .when(F.endswith(text, F.lit(_SUFFIX)), without_suffix)
-        .otherwise(text)
-    )
+    cleaned = F.trim(_without_suffix(F.trim(text)))
+    return F.when(~cleaned.isin(*cfg.null_tokens), cleaned)

@@ -9,6 +9,8 @@ from daybook.config import Config
 # The only spellings a campaign figure may have.
 WHOLE_NUMBER = r"^[0-9]+$"
 DECIMAL_NUMBER = r"^-?[0-9]+(\.[0-9]+)?$"
+# What counts as a number in a text cell of amounts and points.
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def _guarded(value: Column, pattern: str, data_type: str, bad_number: str) -> Column:
@@ -17,9 +19,9 @@ def _guarded(value: Column, pattern: str, data_type: str, bad_number: str) -> Co
     return number if bad_number == "null" else number.otherwise(F.lit(0).cast(data_type))
 
 
-def guarded_int(value: Column, bad_number: str = "zero") -> Column:
-    """Digits only; other spellings are 0 (or null), digits beyond the int range are null."""
-    return _guarded(value, WHOLE_NUMBER, "int", bad_number)
+def guarded_int(value: Column, bad_number: str = "zero", data_type: str = "int") -> Column:
+    """Digits only; other spellings are 0 (or null). Digits beyond ``data_type`` are null, which a double never is."""
+    return _guarded(value, WHOLE_NUMBER, data_type, bad_number)
 
 
 def guarded_decimal(value: Column, data_type: str, bad_number: str = "zero") -> Column:
@@ -32,21 +34,34 @@ def _lenient_int(text: Column) -> Column:
     return F.regexp_extract(F.trim(text), r"^([+-]?[0-9]+)(\.[0-9]*)?$", 1).try_cast("int")
 
 
-def amount(value: Column, cfg: Config) -> Column:
-    """Exact and order-free: decimal, so that sums do not depend on the order of the rows.
+def _number(value: Column, data_type: T.DataType) -> Column:
+    """The number in a cell as a double: no digits are too many or too small. Null for NaN and texts that are none."""
+    if isinstance(data_type, T.StringType):
+        text = F.trim(value)
+        return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    number = value.try_cast("double")
+    return F.when(~F.isnan(number), number)
 
-    Text such as ``nan`` and the double NaN are null. The literal variant is a double and keeps NaN.
+
+def amount(value: Column, data_type: T.DataType, cfg: Config) -> Column:
+    """A double, or the type the configuration asks for (beyond its range: null).
+
+    Text such as ``nan`` and the double NaN are null; the literal variant keeps NaN.
     """
-    return value.try_cast("double" if cfg.literal else cfg.amount_type)
+    if cfg.literal:
+        return value.try_cast("double")
+    number = _number(value, data_type)
+    return number if cfg.amount_type == "double" else F.when(number.isNotNull(), value.try_cast(cfg.amount_type))
 
 
 def amount_is_nonzero(value: Column, data_type: T.DataType, cfg: Config) -> Column:
-    if cfg.literal and isinstance(data_type, T.StringType):
-        return _lenient_int(value) != 0
-    return amount(value, cfg) != 0
+    """Whether there is an amount other than 0, by the value as given."""
+    if cfg.literal:
+        return (_lenient_int(value) if isinstance(data_type, T.StringType) else value.try_cast("double")) != 0
+    return _number(value, data_type) != 0
 
 
 def points(value: Column, data_type: T.DataType, cfg: Config) -> Column:
-    if cfg.literal and isinstance(data_type, T.StringType):
-        return _lenient_int(value).cast(cfg.amount_type)
-    return value.try_cast(cfg.amount_type)
+    if cfg.literal:
+        return _lenient_int(value).cast("double") if isinstance(data_type, T.StringType) else value.try_cast("double")
+    return _number(value, data_type)

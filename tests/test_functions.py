@@ -98,10 +98,33 @@ def test_amounts_and_points(spark):
     assert points == [0.5, 0, 0, None, None, 12, 50.75, 49.9, None]
     points = [None if p is None else float(p) for p in each(spark, lambda v: numbers.points(v, TEXT, LITERAL), values)]
     assert points == [0, 0, 0, None, None, 12, 50, 49, None]
-    doubles = each(spark, lambda v: numbers.amount(v, CONFIG).cast("double"), [float("nan"), 1.25, None], "double")
+    doubles = each(spark, lambda v: numbers.amount(v, T.DoubleType(), CONFIG), [float("nan"), 1.25, None], "double")
     assert doubles == [None, 1.25, None]
 
 
+def test_no_number_is_too_long(spark):
+    """16, 21 and 30 digits, 5 and 9 decimals: none is lost, cut or rounded away."""
+    values = ["123456789012345.5", "123456789012345678901", "1" + "0" * 29, "0.00001", "0.123456789"]
+    exact = [float(v) for v in values]
+    assert each(spark, lambda v: numbers.amount(v, TEXT, CONFIG), values) == exact
+    assert each(spark, lambda v: numbers.points(v, TEXT, CONFIG), values) == exact
+    assert each(spark, lambda v: numbers.amount_is_nonzero(v, TEXT, CONFIG), values) == [True] * 5
+    assert each(spark, lambda v: numbers.guarded_decimal(v, CONFIG.figure_type), values) == exact
+    assert each(spark, lambda v: numbers.guarded_int(v, data_type="double"), values[1:3]) == exact[1:3]
+    assert each(spark, lambda v: numbers.points(v, TEXT, CONFIG) > 50, ["50.000001", "50"]) == [True, False]
+
+
+def test_a_type_of_the_caller_adds_up_exactly(spark):
+    cfg = replace(CONFIG, amount_type="decimal(18,4)")
+    assert [float(v) for v in each(spark, lambda v: numbers.amount(v, TEXT, cfg), ["1.25", "0.3"])] == [1.25, 0.3]
+
+
+def test_ids_with_a_blank_before_the_suffix(spark):
+    values = ["123 .0", "123.0 ", " 123", ".0", "None.0"]
+    assert each(spark, lambda v: ids.clean_id(v, TEXT, CONFIG), values) == ["123", "123", "123", None, None]
+    assert each(spark, lambda v: ids.clean_id(v, TEXT, LITERAL), values) == ["123", "123.0", "123", "", "None"]
+
+
 def _pairs(spark, function, rows):
     frame = spark.createDataFrame([(i, *row) for i, row in enumerate(rows)], "i int, day date, event date")
     return [row[1] for row in frame.select("i", function(F.col("day"), F.col("event"))).orderBy("i").collect()]
