@@ -86,10 +86,10 @@ class Config:
     wrap_year_end: bool = False
     # What an unreadable campaign number becomes: "zero" or "null".
     bad_number: str = "zero"
-    # Amounts and points; wide enough for the declared numeric(15,4).
-    amount_type: str = "decimal(18,4)"
-    # Campaign figures, which arrive as free text.
-    figure_type: str = "decimal(28,8)"
+    # What amounts and campaign figures are added up in. A double loses no value; a decimal type adds up
+    # exactly, but cells that it cannot hold become null.
+    amount_type: str = "double"
+    figure_type: str = "double"
     # Texts that an all-text export writes for a blank cell.
     null_tokens: tuple[str, ...] = ("", "None", "nan", "NaT")
     member_columns: Mapping[str, str] = MEMBER_EXPORT

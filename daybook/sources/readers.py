@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
@@ -21,17 +22,27 @@ def read_files(spark: SparkSession, path: str, format: str = "parquet", **option
 def read_csv_export(spark: SparkSession, path: str, first_column: str | None = None, **options: str) -> DataFrame:
     """A csv export with a header row in each file: clean unique column names, all columns text.
 
-    Only the header row of one file is looked at before the read, so repeated and blank header
-    cells keep their meaning. A cell with a line break needs the option ``multiLine``.
+    Files may order their columns differently or lack some (null there): every file is read by its own
+    header, whose repeated and blank cells keep their meaning. The headers cost one look at the head of
+    each file; files of the same header are read together. ``first_column`` renames the first column of
+    every file. A cell with a line break needs the option ``multiLine``.
     """
     options = {"escape": '"', **options}
     reader = spark.read.options(**options)
-    header = reader.csv(path, header=False).first()
-    if header is None:
+    by_names: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.text(path).inputFiles()):
+        header = reader.csv(file, header=False).first()
+        if header is not None:  # else an empty file
+            by_names.setdefault(tuple(clean_headers(header, first_column)), []).append(file)
+    if not by_names:
         raise ValueError(f"no header row in {path}")
-    names = clean_headers(header, first_column)
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    return spark.read.options(**options).schema(schema).csv(path, header=True)
+
+    def read(names: tuple[str, ...], files: list[str]) -> DataFrame:
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+        return spark.read.options(**options).schema(schema).csv(files, header=True)
+
+    parts = [read(names, files) for names, files in by_names.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def jdbc_options(

@@ -48,7 +48,7 @@ _SOCIAL_PROFILE = """
 {net}languages STRING, {net}relationshipstatus STRING, {net}timezone STRING, {net}work STRING,
 {net}bio STRING, {net}industry STRING
 """
-_CAMPAIGN = """
+CAMPAIGN_DDL = """
 id INT NOT NULL, Unnamed_0 STRING, Sl_No DOUBLE, Region STRING, Campaign_Name STRING, Brand STRING,
 Channel STRING, Customer_cut STRING, Other_Details STRING, Deployment_date STRING, Month STRING,
 Status STRING, Overall STRING, Target_Count STRING, Buyers STRING, Sale_Value STRING, ATS STRING,
@@ -59,7 +59,7 @@ Unnamed_30 DOUBLE, Unnamed_31 DOUBLE, Unnamed_32 DOUBLE, Unnamed_33 DOUBLE, Unna
 Unnamed_35 DOUBLE, Unnamed_36 DOUBLE, Unnamed_37 DOUBLE, Unnamed_38 DOUBLE, Unnamed_39 DOUBLE,
 Unnamed_40 DOUBLE, Unnamed_41 DOUBLE, Unnamed_42 DOUBLE
 """
-_TRANSACTION = """
+TRANSACTION_DDL = """
 id INT NOT NULL, transactionid STRING, oldloyaltyid STRING, cardno STRING, tiername STRING,
 rewardpostingdate DATE, invoice_no STRING, invoice_date DATE, channel STRING, category STRING,
 brand STRING, qty BIGINT, storecode STRING, campaignname STRING, currencysymbol STRING,
@@ -70,18 +70,22 @@ earned_lineitemnumber DECIMAL(15,5)
 """
 
 
-def member_schema(program: str = "") -> T.StructType:
+def member_schema(program: str) -> T.StructType:
     """``program`` is the loyalty programme's name, which one column carries as its prefix."""
+    return T.StructType.fromDDL(member_ddl(program))
+
+
+def member_ddl(program: str) -> str:
     profiles = {net: _SOCIAL_PROFILE.format(net=net).strip() for net in ("fb", "tw", "li")}
-    return T.StructType.fromDDL(_MEMBER.format(program=program, **profiles))
+    return _MEMBER.format(program=program, **profiles)
 
 
 def transaction_schema() -> T.StructType:
-    return T.StructType.fromDDL(_TRANSACTION)
+    return T.StructType.fromDDL(TRANSACTION_DDL)
 
 
 def campaign_schema() -> T.StructType:
-    return T.StructType.fromDDL(_CAMPAIGN)
+    return T.StructType.fromDDL(CAMPAIGN_DDL)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

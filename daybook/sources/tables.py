@@ -59,19 +59,20 @@ def clean_members(raw: DataFrame, cfg: Config) -> DataFrame:
     return (
         raw.select(
             ids.clean_id(card, card_type, cfg).alias("card_no"),
-            F.col(f"`{names['channel']}`").alias("channel"),
+            F.lower(f"`{names['channel']}`").alias("channel"),
             dates.to_day(F.col(f"`{names['enrollment_date']}`")).alias("enrollment_date"),
             dates.to_day(F.col(f"`{names['dob']}`")).alias("dob"),
             dates.to_day(F.col(f"`{names['anniversary']}`")).alias("anniversary"),
             numbers.points(balance, balance_type, cfg).alias("point_balance"),
         )
-        .filter(F.lower("channel").isin(*cfg.program_channels))
+        .filter(F.col("channel").isin(*cfg.program_channels))
         .filter(F.col("enrollment_date").isNotNull())
     )
 
 
 def clean_transactions(raw: DataFrame, cfg: Config) -> DataFrame:
-    """Transactions with a readable date.
+    """Transactions with a readable date; channel and category in lower case, so that filters on written copies
+    compare plain columns and reach the parquet scan.
 
     Rows without a card stay: the calendar may end on one of them. Every measure skips them.
     """
@@ -81,9 +82,9 @@ def clean_transactions(raw: DataFrame, cfg: Config) -> DataFrame:
     return raw.select(
         ids.clean_id(card, card_type, cfg).alias("card_no"),
         dates.to_day(F.col(f"`{names['invoice_date']}`")).alias("invoice_date"),
-        F.col(f"`{names['channel']}`").alias("channel"),
-        F.col(f"`{names['category']}`").alias("category"),
-        numbers.amount(amount, cfg).alias("amount"),
+        F.lower(f"`{names['channel']}`").alias("channel"),
+        F.lower(f"`{names['category']}`").alias("category"),
+        numbers.amount(amount, amount_type, cfg).alias("amount"),
         numbers.amount_is_nonzero(amount, amount_type, cfg).alias("is_nonzero"),
     ).filter(F.col("invoice_date").isNotNull())
 
@@ -93,12 +94,13 @@ def clean_campaigns(raw: DataFrame, cfg: Config) -> DataFrame:
     names = cfg.campaign_columns
     deployed, deployed_type = _column(raw, names["deployment_date"])
     figure_type = "double" if cfg.literal else cfg.figure_type
+    count_type = "int" if cfg.literal else "double"  # free text: any number of digits
 
     def figure(name):
         return numbers.guarded_decimal(F.col(f"`{names[name]}`"), figure_type, cfg.bad_number).alias(name)
 
     def count(name):
-        return numbers.guarded_int(F.col(f"`{names[name]}`"), cfg.bad_number).alias(name)
+        return numbers.guarded_int(F.col(f"`{names[name]}`"), cfg.bad_number, count_type).alias(name)
 
     def label(name):
         return F.col(f"`{names[name]}`").alias(name)
