@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from daybook.config import Config
@@ -16,28 +18,35 @@ def _label_set(name: str, cfg: Config) -> Column:
     return joined if cfg.literal else F.nullif(joined, F.lit(""))
 
 
-def campaigns_by_day(campaigns: DataFrame, cfg: Config) -> DataFrame:
+def campaigns_by_day(campaigns: DataFrame, cfg: Config, labels: Sequence[str] = LABELS) -> DataFrame:
     """One row per deployment day: campaigns, targets, buyers, revenue, sales, mean conversion, labels.
 
-    Rows are added up per day and label combination first, so that the label sets of a day with very
-    many campaigns are built from its distinct combinations instead of its rows.
+    With labels, rows are added up per day and label combination first, so that the label sets of a day with
+    very many campaigns are built from its distinct combinations instead of its rows. Without, one
+    aggregation does.
     """
-    combinations = campaigns.groupBy(F.col("deploy_date").alias("date"), *LABELS).agg(
-        F.count_if("is_counted").alias("campaignsdeployed"),
-        F.sum("target_count").alias("targetedcount"),
-        F.sum("buyers").alias("buyers"),
-        F.sum("incremental_rev").alias("incrementalrev"),
-        F.sum("sale_value_1").alias("sale_value_1"),
-        F.sum("conversion_1").alias("conversion_sum"),
-        F.count("conversion_1").alias("conversions"),
-    )
-    mean = F.try_divide(F.sum("conversion_sum").cast("double"), F.sum("conversions"))
-    return combinations.groupBy("date").agg(
-        F.sum("campaignsdeployed").alias("campaignsdeployed"),
-        F.sum("targetedcount").alias("targetedcount"),
-        F.sum("buyers").alias("buyers"),
-        F.sum("incrementalrev").cast("double").alias("incrementalrev"),
-        F.sum("sale_value_1").cast("double").alias("sale_value_1"),
-        mean.alias("conversion_1"),
-        *[_label_set(name, cfg).alias(name) for name in LABELS],
+    date = F.col("deploy_date").alias("date")
+    sums = {
+        "campaignsdeployed": F.count_if("is_counted"),
+        "targetedcount": F.sum("target_count"),
+        "buyers": F.sum("buyers"),
+        "incrementalrev": F.sum("incremental_rev"),
+        "sale_value_1": F.sum("sale_value_1"),
+        "conversion_sum": F.sum("conversion_1"),
+        "conversions": F.count("conversion_1"),
+    }
+    named = [column.alias(name) for name, column in sums.items()]
+    if labels:
+        combinations = campaigns.groupBy(date, *labels).agg(*named)
+        per_day = combinations.groupBy("date").agg(
+            *[F.sum(name).alias(name) for name in sums], *[_label_set(name, cfg).alias(name) for name in labels]
+        )
+    else:
+        per_day = campaigns.groupBy(date).agg(*named)
+    return per_day.select(
+        "date", "campaignsdeployed", "targetedcount", "buyers",
+        F.col("incrementalrev").cast("double").alias("incrementalrev"),
+        F.col("sale_value_1").cast("double").alias("sale_value_1"),
+        F.try_divide(F.col("conversion_sum").cast("double"), "conversions").alias("conversion_1"),
+        *labels,
     )

@@ -22,13 +22,13 @@ def card_days(transactions: DataFrame, cfg: Config) -> DataFrame:
 
     A row whose channel is unknown counts neither as the focus channel nor as ``elsewhere``.
     """
-    channel = F.lower("channel")
+    channel = F.col("channel")
     in_focus = channel == cfg.focus_channel
     return transactions.groupBy("card_no", F.col("invoice_date").alias("date")).agg(
         F.sum("amount").alias("amount"),
         _any(in_focus).alias("in_focus"),
         _any(channel != cfg.focus_channel).alias("elsewhere"),
-        _any(in_focus & F.lower("category").contains(cfg.category_keyword)).alias("keyword_in_focus"),
+        _any(in_focus & F.col("category").contains(cfg.category_keyword)).alias("keyword_in_focus"),
         _any(in_focus & F.col("is_nonzero")).alias("spent_in_focus"),
         _any(channel.isin(*cfg.program_channels) & F.col("is_nonzero")).alias("spent_in_program"),
     )

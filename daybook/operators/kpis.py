@@ -20,8 +20,8 @@ from daybook.operators.activity import activity_by_day, first_focus_reasons
 from daybook.operators.base import base_on
 from daybook.operators.campaigns import LABELS, campaigns_by_day
 from daybook.operators.members import enrolled_by_day, events_on_calendar
-from daybook.operators.population import population_by_day
-from daybook.operators.spine import date_spine, spine_bounds
+from daybook.operators.population import clamp_entry, population_by_day, running_total
+from daybook.operators.spine import calendarise, date_spine, spine_bounds
 from daybook.sources.tables import Tables
 
 
@@ -35,7 +35,7 @@ def _purchases(tables: Tables) -> DataFrame:
 
 
 def _in_focus(cfg: Config) -> Column:
-    return F.lower("channel") == cfg.focus_channel
+    return F.col("channel") == cfg.focus_channel
 
 
 def _enrolled_cards(tables: Tables) -> DataFrame:
@@ -60,6 +60,37 @@ def _state(entries: DataFrame, tables: Tables, cfg: Config, name: str) -> DataFr
     return population_by_day(entries, _spine(tables, cfg), cfg.spine_start, name)
 
 
+def _state_per_card(
+    tables: Tables, cfg: Config, bought: dict[str, Column], held: dict[str, Column], entry: Column, name: str
+) -> DataFrame:
+    """A state measure with one scan of the transactions: ``entry`` from one row per card, which has the
+    aggregates ``bought`` of its transactions and ``held`` of its member rows, and ``enrolled``.
+
+    The same rows say where the calendar ends. Rows without a card are one group, combined on the map
+    side; they matter for the calendar only.
+    """
+    last_focus = F.max(F.when(_in_focus(cfg), F.col("invoice_date"))).alias("last_focus")
+    per_card = tables.transactions.groupBy("card_no").agg(last_focus, *[c.alias(n) for n, c in bought.items()])
+    members = tables.members.groupBy("card_no").agg(
+        F.min("enrollment_date").alias("enrolled"),
+        F.max("enrollment_date").alias("last_enrolled"),
+        *[c.alias(n) for n, c in held.items()],
+    )
+    cards = per_card.join(members, "card_no", "full")
+    entered = F.when(F.col("card_no").isNotNull(), clamp_entry(entry, cfg.spine_start))
+    seen = F.greatest("last_focus", "last_enrolled")
+    days = cards.select(F.inline(F.array(
+        F.struct(entered.alias("date"), F.lit(1).alias("cards"), F.lit(False).alias("is_end")),
+        F.struct(seen.alias("date"), F.lit(0).alias("cards"), F.lit(True).alias("is_end")),
+    ))).filter(F.col("date").isNotNull())
+    start = tables.members.sparkSession.range(1).select(
+        F.lit(cfg.spine_start).alias("date"), F.lit(0).alias("cards"), F.lit(False).alias("is_end")
+    )
+    per_day = days.union(start).groupBy("date").agg(F.sum("cards").alias(name), F.bool_or("is_end").alias("is_end"))
+    calendar = calendarise(per_day, cfg.spine_start, F.col("is_end"))
+    return calendar.select("date", running_total(name).alias(name))
+
+
 def new_customers(tables: Tables, cfg: Config) -> DataFrame:
     """Cards whose first purchase ever is on the day."""
     first_days = _purchases(tables).groupBy("card_no").agg(F.min("date").alias("date"))
@@ -133,11 +164,9 @@ def enrolled_customers(tables: Tables, cfg: Config) -> DataFrame:
 def members_archived(tables: Tables, cfg: Config) -> DataFrame:
     """Member cards enrolled by the day that never bought, or whose last purchase of all is more
     than ``archive_months`` before the day."""
-    last_days = _purchases(tables).groupBy("card_no").agg(F.max("date").alias("last_day"))
-    members = _enrolled_cards(tables).join(last_days, "card_no", "left")
     lapsed = first_after(F.col("last_day"), cfg.archive_months)  # null without any purchase
-    entries = members.select("card_no", F.greatest("enrolled", lapsed).alias("entry"))
-    return _state(entries, tables, cfg, "membersarchived")
+    entry = F.when(F.col("enrolled").isNotNull(), F.greatest("enrolled", lapsed))
+    return _state_per_card(tables, cfg, {"last_day": F.max("invoice_date")}, {}, entry, "membersarchived")
 
 
 def cross_channel_buyers(tables: Tables, cfg: Config) -> DataFrame:
@@ -149,7 +178,7 @@ def cross_channel_buyers(tables: Tables, cfg: Config) -> DataFrame:
         .groupBy("card_no")
         .agg(
             F.min(F.when(_in_focus(cfg), day)).alias("first_focus_day"),
-            F.min(F.when(F.lower("channel") != cfg.focus_channel, day)).alias("first_elsewhere_day"),
+            F.min(F.when(F.col("channel") != cfg.focus_channel, day)).alias("first_elsewhere_day"),
         )
         .filter(F.col("first_focus_day").isNotNull())
         .join(_enrolled_cards(tables), "card_no", "left")
@@ -160,7 +189,7 @@ def cross_channel_buyers(tables: Tables, cfg: Config) -> DataFrame:
 
 def keyword_buyers(tables: Tables, cfg: Config) -> DataFrame:
     """Member cards that buy a keyword category in the focus channel."""
-    is_keyword = F.lower("category").contains(cfg.category_keyword)
+    is_keyword = F.col("category").contains(cfg.category_keyword)
     bought = _purchases(tables).filter(_in_focus(cfg) & is_keyword).select("card_no", "date").distinct()
     member_cards = tables.members.select("card_no").distinct()
     return _count_rows(bought.join(member_cards, "card_no", "left_semi"), "diamondenthusiasts")
@@ -169,13 +198,10 @@ def keyword_buyers(tables: Tables, cfg: Config) -> DataFrame:
 def dormant_customers(tables: Tables, cfg: Config) -> DataFrame:
     """Member cards above the point threshold whose last focus-channel purchase with an amount is
     more than ``dormant_months`` before the day."""
-    spent = _purchases(tables).filter(_in_focus(cfg) & F.col("is_nonzero"))
-    last_days = spent.groupBy("card_no").agg(F.max("date").alias("last_day"))
-    holders = tables.members.filter(F.col("point_balance") > cfg.point_threshold).select("card_no").distinct()
-    entries = last_days.join(holders, "card_no", "left_semi").select(
-        "card_no", first_after(F.col("last_day"), cfg.dormant_months).alias("entry")
-    )
-    return _state(entries, tables, cfg, "dormantcustomers")
+    spent = F.max(F.when(_in_focus(cfg) & F.col("is_nonzero"), F.col("invoice_date")))
+    holds = F.bool_or(F.coalesce(F.col("point_balance") > cfg.point_threshold, F.lit(False)))
+    entry = F.when(F.col("holds"), first_after(F.col("last_day"), cfg.dormant_months))
+    return _state_per_card(tables, cfg, {"last_day": spent}, {"holds": holds}, entry, "dormantcustomers")
 
 
 def low_point_balance_customers(tables: Tables, cfg: Config) -> DataFrame:
@@ -187,7 +213,7 @@ def low_point_balance_customers(tables: Tables, cfg: Config) -> DataFrame:
 
 def active_customers(tables: Tables, cfg: Config) -> DataFrame:
     """Member cards with a purchase with an amount in a program channel, on or after enrollment."""
-    in_program = F.lower("channel").isin(*cfg.program_channels)
+    in_program = F.col("channel").isin(*cfg.program_channels)
     bought = _purchases(tables).filter(in_program & F.col("is_nonzero")).select("card_no", "date").distinct()
     active = bought.join(_enrolled_cards(tables), "card_no").filter(F.col("date") >= F.col("enrolled"))
     return _count_rows(active, "activecustomers")
@@ -195,23 +221,23 @@ def active_customers(tables: Tables, cfg: Config) -> DataFrame:
 
 def campaigns_deployed(tables: Tables, cfg: Config) -> DataFrame:
     """Campaigns with their deployment date on the day."""
-    counted = campaigns_by_day(tables.campaigns, cfg).select("date", "campaignsdeployed")
+    counted = campaigns_by_day(tables.campaigns, cfg, labels=()).select("date", "campaignsdeployed")
     return counted.filter(F.col("campaignsdeployed") > 0)
 
 
 def targeted_count(tables: Tables, cfg: Config) -> DataFrame:
     """Customers targeted by the day's campaigns."""
-    return campaigns_by_day(tables.campaigns, cfg).select("date", "targetedcount")
+    return campaigns_by_day(tables.campaigns, cfg, labels=()).select("date", "targetedcount")
 
 
 def campaign_buyers(tables: Tables, cfg: Config) -> DataFrame:
     """Buyers of the day's campaigns."""
-    return campaigns_by_day(tables.campaigns, cfg).select("date", "buyers")
+    return campaigns_by_day(tables.campaigns, cfg, labels=()).select("date", "buyers")
 
 
 def incremental_revenue(tables: Tables, cfg: Config) -> DataFrame:
     """Incremental revenue of the day's campaigns."""
-    return campaigns_by_day(tables.campaigns, cfg).select("date", "incrementalrev")
+    return campaigns_by_day(tables.campaigns, cfg, labels=()).select("date", "incrementalrev")
 
 
 def campaign_details(tables: Tables, cfg: Config) -> DataFrame:

@@ -14,7 +14,7 @@ def spine_bounds(tables: Tables, cfg: Config) -> DataFrame:
     """One row ``(first, last)``: the set start and the later of the last enrollment and the last
     transaction in the focus channel. ``last`` is null when there is neither."""
     enrolled = tables.members.select(F.col("enrollment_date").alias("date"))
-    bought = tables.transactions.filter(F.lower("channel") == cfg.focus_channel).select(
+    bought = tables.transactions.filter(F.col("channel") == cfg.focus_channel).select(
         F.col("invoice_date").alias("date")
     )
     return enrolled.union(bought).agg(F.lit(cfg.spine_start).alias("first"), F.max("date").alias("last"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daybook.config import Config
 from daybook.functions.headers import as_text, standardise_headers
@@ -12,6 +12,7 @@ from daybook.plans.daily import daily
 from daybook.sources.tables import Tables
 from daybook.sources.writers import write_csv, write_parquet, write_snapshot
 
+MONTH = "invoice_month"
 _TABLES = ("members", "transactions", "campaigns")
 
 
@@ -20,12 +21,21 @@ def daily_job(members: DataFrame, transactions: DataFrame, campaigns: DataFrame,
     write_parquet(daily(Tables(members, transactions, campaigns, cfg), cfg), path)
 
 
-def clean_job(members: DataFrame, transactions: DataFrame, campaigns: DataFrame, cfg: Config, path: str) -> None:
+def clean_job(
+    members: DataFrame, transactions: DataFrame, campaigns: DataFrame, cfg: Config, path: str, by_month: bool = False
+) -> None:
     """The cleaned, typed tables as parquet, for when several jobs read them: text is parsed once
-    and later scans read a few compact columns."""
+    and later scans read a few compact columns, to which filters are pushed.
+
+    ``by_month`` partitions the transactions by the month of the invoice (``invoice_month``, its first day).
+    """
     tables = Tables(members, transactions, campaigns, cfg)
     for name in _TABLES:
-        write_parquet(getattr(tables, name), f"{path}/{name}")
+        table, partitions = getattr(tables, name), ()
+        if by_month and name == "transactions":
+            table, partitions = table.withColumn(MONTH, F.trunc("invoice_date", "month")), (MONTH,)
+            table = table.repartition(MONTH, F.hash("card_no") % 16)  # a few files per month
+        write_parquet(table, f"{path}/{name}", partition_by=partitions)
 
 
 def read_clean(spark: SparkSession, path: str) -> Tables:
