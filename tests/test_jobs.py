@@ -73,6 +73,22 @@ def test_csv_export_with_messy_headers(spark, tmp_path):
     assert rows(frame) == [("2024", "1", "2", "3", "4%"), ("2024", "2", "2", "3", "4%")]
 
 
+def test_csv_export_by_name(spark, tmp_path):
+    """Files with their columns in another order, with one missing, and an empty one."""
+    for name, text in {"a": "A,B\nx,1\n", "b": "B,A\n2,y\n", "c": "A\nz\n", "d": ""}.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    frame = read_csv_export(spark, str(tmp_path))
+    assert frame.columns == ["a", "b"]
+    assert rows(frame) == [("x", "1"), ("y", "2"), ("z", None)]
+
+
+def test_clean_tables_by_month(spark, tmp_path):
+    clean_job(*small.raw(spark), small.CONFIG, str(tmp_path), by_month=True)
+    back = read_clean(spark, str(tmp_path))
+    assert "invoice_month" in back.transactions.columns
+    assert rows(daily(back, small.CONFIG)) == rows(daily(small.tables(spark), small.CONFIG))
+
+
 def test_text_parquet(spark, tmp_path):
     source = spark.createDataFrame([(1, 2.5, dt.date(2024, 1, 2), None)], "`A a` int, `A a2` double, d date, e string")
     text_parquet_job(source, str(tmp_path / "job"), first_column="MonthYear")

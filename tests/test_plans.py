@@ -8,6 +8,7 @@ import pytest
 
 from daybook import Tables, daily
 from daybook.operators import kpis
+from daybook.plans.jobs import clean_job, read_clean
 from tests import small
 from workload import inputs
 from workload.queries import QUERIES
@@ -41,6 +42,26 @@ def test_daily_reads_each_fact_once(stored):
     assert scans(plan, "members") == 3
 
 
+@pytest.mark.parametrize("measure", [kpis.members_archived, kpis.dormant_customers])
+def test_states_read_each_table_once(stored, measure):
+    plan = plan_of(measure(stored, small.CONFIG))
+    assert scans(plan, "transactions") == 1
+    assert scans(plan, "members") == 1
+
+
+@pytest.mark.parametrize(
+    "measure", [kpis.campaigns_deployed, kpis.targeted_count, kpis.campaign_buyers, kpis.incremental_revenue]
+)
+def test_campaign_totals_shuffle_once(stored, measure):
+    assert plan_of(measure(stored, small.CONFIG), "simple").count("Exchange hashpartitioning") == 1
+
+
+def test_filters_on_clean_tables_reach_the_scan(spark, tmp_path):
+    clean_job(*small.raw(spark), small.CONFIG, str(tmp_path))
+    plan = plan_of(kpis.keyword_buyers(read_clean(spark, str(tmp_path)), small.CONFIG))
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(channel,", plan)
+
+
 def test_daily_has_no_pairwise_join(stored):
     plan = plan_of(daily(stored, small.CONFIG))
     assert "BroadcastNestedLoopJoin" not in plan

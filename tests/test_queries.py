@@ -17,13 +17,11 @@ def duck():
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, duck, name):
-    found = difference(spark, duck, SF_DIR, name)
-    # A small table may leave a rare measure without rows; both sides then agree on that.
-    assert found in (None, "no rows")
+    assert difference(spark, duck, SF_DIR, name) is None
 
 
 def test_driver_contract(spark):
     entry = importlib.import_module("__spark_entry__")
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
     frame = entry.entry(spark)
     assert len(frame.columns) == 31 and frame.count() > 0

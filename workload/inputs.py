@@ -19,13 +19,14 @@ CONFIG = Config(
     focus_channel="store",
     program_channels=("store", "club", "clubweb", "shopweb"),
     category_keyword="promo",
-    base_overrides={dt.date(1999, 6, 1): 32980, dt.date(2000, 2, 29): 17},
+    base_overrides={dt.date(1999, 6, 1): 41250, dt.date(2000, 2, 29): 17},
 )
 LITERAL = replace(CONFIG, semantics="reference")
 
 MEMBERS = """
 SELECT CASE WHEN c_custkey % 97 = 5 THEN 'None'
             WHEN c_custkey % 50 = 49 THEN concat(' ', c_custkey - 1, '.0')
+            WHEN c_custkey % 59 = 6 THEN concat(c_custkey, ' .0')
             WHEN c_custkey % 3 = 0 THEN concat(c_custkey, '.0')
             WHEN c_custkey % 41 = 1 THEN concat(c_custkey, '.0 ')
             ELSE concat('', c_custkey) END AS card_no,
@@ -41,7 +42,8 @@ SELECT CASE WHEN c_custkey % 97 = 5 THEN 'None'
             ELSE CAST(DATE '1960-01-01' + CAST(c_custkey * 97 % 15000 AS INT) AS VARCHAR(10)) END AS dob,
        CASE WHEN c_custkey % 7 = 0 THEN 'None'
             ELSE CAST(DATE '1985-01-01' + CAST(c_custkey * 53 % 5000 AS INT) AS VARCHAR(10)) END AS anniversary,
-       CASE WHEN c_custkey % 61 = 3 THEN '50' WHEN c_custkey % 29 = 2 THEN 'nan'
+       CASE WHEN c_custkey % 61 = 3 THEN '50' WHEN c_custkey % 67 = 5 THEN '50.000001'
+            WHEN c_custkey % 71 = 6 THEN '1267650600228229401496703205376' WHEN c_custkey % 29 = 2 THEN 'nan'
             ELSE CAST(CAST(c_acctbal / 50 AS DECIMAL(12,4)) AS VARCHAR(20)) END AS point_balance
 FROM {customer}
 """
@@ -55,7 +57,8 @@ SELECT CASE WHEN o_orderkey % 89 = 4 THEN 'None'
        CASE o_orderpriority WHEN '1-URGENT' THEN 'Store' WHEN '2-HIGH' THEN 'club'
             WHEN '3-MEDIUM' THEN 'CLUBWEB' WHEN '4-NOT SPECIFIED' THEN 'shopweb' ELSE 'kiosk' END AS channel,
        p_type AS category,
-       CASE WHEN l_linenumber % 5 = 0 THEN '0' WHEN l_linenumber % 7 = 0 THEN NULL
+       CASE WHEN l_orderkey % 997 = 5 THEN '0.00001' WHEN l_orderkey % 9973 = 7 THEN '1267650600228229401496703205376'
+            WHEN l_linenumber % 5 = 0 THEN '0' WHEN l_linenumber % 7 = 0 THEN NULL
             WHEN l_quantity = 1 THEN '0.5' WHEN l_orderkey % 9973 = 3 THEN 'nan'
             ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR(24)) END AS eligible_amt
 FROM {lineitem}
@@ -73,12 +76,14 @@ SELECT CASE event_id % 8
          WHEN 6 THEN concat(substr(day, 1, 4), '/', substr(day, 6, 2), '/', substr(day, 9, 2))
          ELSE day END AS deployment_date,
        CASE WHEN event_id % 13 = 0 THEN '1,200' WHEN event_id % 17 = 0 THEN '99999999999'
+            WHEN event_id % 1013 = 11 THEN '1267650600228229401496703205376'
             ELSE concat(' ', user_id, ' ') END AS target_count,
        CASE WHEN event_id % 19 = 0 THEN '12.0' ELSE concat('', user_id % 10) END AS buyers,
        CASE WHEN event_id % 11 = 0 THEN '' WHEN event_id % 3 = 0
             THEN concat('-', CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR(24)))
             ELSE CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR(24)) END AS incremental_rev,
-       CASE WHEN event_id % 23 = 0 THEN '1e3'
+       CASE WHEN event_id % 23 = 0 THEN '1e3' WHEN event_id % 29 = 3 THEN '0.123456789'
+            WHEN event_id % 1009 = 7 THEN '1267650600228229401496703205376'
             ELSE CAST(CAST(value * 4 AS DECIMAL(18,2)) AS VARCHAR(24)) END AS sale_value_1,
        CASE WHEN event_id % 5 = 0 THEN '12%' ELSE concat('0.', user_id % 10) END AS conversion_1,
        CASE WHEN event_id % 31 = 0 THEN NULL ELSE event_type END AS channel,

@@ -6,6 +6,8 @@ and with none of the reductions the Spark side uses.
 
 from __future__ import annotations
 
+import re
+
 from workload.inputs import CAMPAIGNS, CONFIG, MEMBERS, TRANSACTIONS
 
 _NAMES = {name: name for name in ("customer", "orders", "lineitem", "part", "events")}
@@ -29,7 +31,7 @@ def day(text: str) -> str:
 def clean_id(text: str, literal: bool) -> str:
     if literal:
         return f"trim(regexp_replace({text}, '\\.0$', ''))"
-    stripped = f"regexp_replace(trim({text}), '\\.0$', '')"
+    stripped = f"trim(regexp_replace(trim({text}), '\\.0$', ''))"
     return f"CASE WHEN {stripped} NOT IN ('', 'None', 'nan', 'NaT') THEN {stripped} END"
 
 
@@ -47,22 +49,29 @@ def deployed(text: str, literal: bool) -> str:
     )
 
 
-def whole(text: str) -> str:
-    return f"CASE WHEN regexp_full_match(trim({text}), '[0-9]+') THEN TRY_CAST(trim({text}) AS INT) ELSE 0 END"
+def whole(text: str, literal: bool) -> str:
+    kind = "INT" if literal else "DOUBLE"
+    return f"CASE WHEN regexp_full_match(trim({text}), '[0-9]+') THEN TRY_CAST(trim({text}) AS {kind}) ELSE 0 END"
+
+
+def number(text: str) -> str:
+    """Any plain number, as a double."""
+    plain = "[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?"
+    return f"CASE WHEN regexp_full_match(trim({text}), '{plain}') THEN TRY_CAST(trim({text}) AS DOUBLE) END"
 
 
 def figure(text: str) -> str:
     return (
         f"CASE WHEN regexp_full_match(trim({text}), '-?[0-9]+(\\.[0-9]+)?') "
-        f"THEN TRY_CAST(trim({text}) AS DECIMAL(28,8)) ELSE 0 END"
+        f"THEN TRY_CAST(trim({text}) AS DOUBLE) ELSE 0 END"
     )
 
 
 def _clean(literal: bool) -> dict[str, str]:
     """The CTEs all measures start from: m, t, k and the spine."""
-    amount = "TRY_CAST(eligible_amt AS DOUBLE)" if literal else "TRY_CAST(eligible_amt AS DECIMAL(18,4))"
+    amount = "TRY_CAST(eligible_amt AS DOUBLE)" if literal else number("eligible_amt")
     nonzero = f"{_lenient_int('eligible_amt')} <> 0" if literal else f"{amount} <> 0"
-    points = _lenient_int("point_balance") if literal else "TRY_CAST(point_balance AS DECIMAL(18,4))"
+    points = _lenient_int("point_balance") if literal else number("point_balance")
     return {
         "m": f"""
             SELECT {clean_id('card_no', literal)} AS card, {day('enrollment_date')} AS enrolled,
@@ -76,7 +85,7 @@ def _clean(literal: bool) -> dict[str, str]:
         "t": "SELECT * FROM every_t WHERE card IS NOT NULL",
         "k": f"""
             SELECT {deployed('deployment_date', literal)} AS date, {day('deployment_date')} AS whole_text_day,
-                   deployment_date, {whole('target_count')} AS target_count, {whole('buyers')} AS buyers,
+                   deployment_date, {whole('target_count', literal)} AS target_count, {whole('buyers', literal)} AS buyers,
                    {figure('incremental_rev')} AS incremental_rev, {figure('sale_value_1')} AS sale_value_1,
                    {figure('conversion_1')} AS conversion_1, channel, brand, region
             FROM ({RAW_CAMPAIGNS}) AS raw_campaigns WHERE {deployed('deployment_date', literal)} IS NOT NULL""",
@@ -164,6 +173,7 @@ def _measures(literal: bool) -> dict[str, str]:
         f"(SELECT m.*, last_day FROM m JOIN (SELECT card, max(day) AS last_day FROM t "
         f"WHERE nonzero AND channel = {FOCUS} GROUP BY card) USING (card) WHERE points > {CONFIG.point_threshold})"
     )
+    count = "BIGINT" if literal else "DOUBLE"
     counted = "whole_text_day IS NOT NULL OR NOT regexp_matches(deployment_date, '^[0-9]{4}-')" if literal else "TRUE"
     return {
         "newcustomercount": cards("newcustomercount", f"t JOIN {_FIRST} USING (card)", "day = first_day"),
@@ -200,8 +210,8 @@ def _measures(literal: bool) -> dict[str, str]:
         ),
         "campaignsdeployed": f"""
             SELECT date, CAST(count(*) AS BIGINT) AS campaignsdeployed FROM k WHERE {counted} GROUP BY date""",
-        "targetedcount": "SELECT date, CAST(sum(target_count) AS BIGINT) AS targetedcount FROM k GROUP BY date",
-        "buyers": "SELECT date, CAST(sum(buyers) AS BIGINT) AS buyers FROM k GROUP BY date",
+        "targetedcount": f"SELECT date, CAST(sum(target_count) AS {count}) AS targetedcount FROM k GROUP BY date",
+        "buyers": f"SELECT date, CAST(sum(buyers) AS {count}) AS buyers FROM k GROUP BY date",
         "incrementalrev": "SELECT date, CAST(sum(incremental_rev) AS DOUBLE) AS incrementalrev FROM k GROUP BY date",
         "details": f"""
             SELECT date, CAST(sum(sale_value_1) AS DOUBLE) AS sale_value_1,
@@ -217,6 +227,14 @@ def _with(ctes: dict[str, str], select: str) -> str:
     return f"WITH {body}\n{select}"
 
 
+def conformed(ddl: str, table: str, names: dict[str, str]) -> str:
+    """All declared columns: the given ones cast, the others null."""
+    kinds = {"STRING": "VARCHAR", "TIMESTAMP_NTZ": "TIMESTAMP"}
+    declared = re.findall(r"(\w+) ([A-Z_]+(?:\(\d+,\d+\))?)", ddl)
+    columns = [f'CAST({names.get(name, "NULL")} AS {kinds.get(kind, kind)}) AS "{name}"' for name, kind in declared if name != "NOT"]
+    return f"SELECT {', '.join(columns)} FROM {table}"
+
+
 def with_clean(select: str) -> str:
     """A SELECT over the cleaned tables m, t, every_t, k and the spine."""
     return _with(_clean(False), select)

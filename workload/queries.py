@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,11 +14,20 @@ from daybook.operators.cards import card_days
 from daybook.operators.population import population_by_day
 from daybook.operators.spine import date_spine, spine_bounds
 from daybook.plans.daily import COLUMNS
-from daybook.plans.jobs import csv_job, snapshot_job, standardise
-from daybook.sources.readers import read_csv_export, read_files
-from daybook.sources.schemas import conform, transaction_schema
+from daybook.plans.jobs import clean_job, csv_job, daily_job, read_clean, snapshot_job, standardise, text_parquet_job
+from daybook.sources.readers import read_csv_export, read_files, read_table
+from daybook.sources.schemas import (
+    CAMPAIGN_DDL,
+    TRANSACTION_DDL,
+    campaign_schema,
+    conform,
+    member_ddl,
+    member_schema,
+    transaction_schema,
+)
+from daybook.sources.scratch import scratch
 from workload import oracles
-from workload.inputs import CONFIG, LITERAL, raw_campaigns, raw_transactions, tables
+from workload.inputs import CONFIG, LITERAL, raw_campaigns, raw_members, raw_transactions, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,12 +78,6 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_files(spark, f"{sf_dir}/{name}.parquet")
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    """A new path in the folder the cluster names for checkpoints; a temporary one only without it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="daybook-")
-    return f"{folder}/{uuid.uuid4().hex}"
-
-
 def _daily(cfg) -> Query:
     return lambda spark, sf_dir: _rounded(daily(tables(spark, sf_dir, cfg), cfg))
 
@@ -142,7 +144,7 @@ def guarded_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["target_count", "buyers", "incremental_rev", "sale_value_1", "conversion_1"]
     return raw_campaigns(spark, sf_dir).select(
         *columns,
-        numbers.guarded_int(F.col("target_count")).cast("double").alias("targets"),
+        numbers.guarded_int(F.col("target_count"), data_type="double").alias("targets"),
         numbers.guarded_int(F.col("buyers"), "null").cast("double").alias("buyers_or_null"),
         *[numbers.guarded_decimal(F.col(name), "double").alias(f"{name}_number") for name in columns[2:]],
     )
@@ -150,7 +152,7 @@ def guarded_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 GUARDED_NUMBERS_SQL = f"""
     SELECT target_count, buyers, incremental_rev, sale_value_1, conversion_1,
-           CAST({oracles.whole('target_count')} AS DOUBLE) AS targets,
+           {oracles.whole('target_count', False)} AS targets,
            CASE WHEN regexp_full_match(trim(buyers), '[0-9]+') THEN CAST(trim(buyers) AS DOUBLE) END AS buyers_or_null,
            CAST({oracles.figure('incremental_rev')} AS DOUBLE) AS incremental_rev_number,
            CAST({oracles.figure('sale_value_1')} AS DOUBLE) AS sale_value_1_number,
@@ -160,10 +162,13 @@ GUARDED_NUMBERS_SQL = f"""
 
 def header_standardise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customer table under headers as spreadsheets have them, and what is made of them."""
-    messy = _read(spark, sf_dir, "customer").select(
+    return standardise(_messy_customers(spark, sf_dir), first_column="MonthYear")
+
+
+def _messy_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"
     ).toDF("Key", "Full Name ", "Share %", "Full Name", "Seg.ment")
-    return standardise(messy, first_column="MonthYear")
 
 
 HEADER_SQL = """
@@ -179,21 +184,97 @@ def conform_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_returnflag": "channel", "l_linestatus": "brand", "l_tax": "not_declared",
     }
     lines = _read(spark, sf_dir, "lineitem").select(*names).withColumnsRenamed(names)
-    fitted = [name for name in transaction_schema().names if name in {n.lower() for n in names.values()}]
-    return conform(lines, transaction_schema()).select(*fitted, "remarks")
+    return conform(lines, transaction_schema())
+
+
+CONFORM_SQL = oracles.conformed(TRANSACTION_DDL, "lineitem", {
+    "id": "l_linenumber", "transactionid": "l_orderkey", "invoice_date": "l_shipdate", "channel": "l_returnflag",
+    "brand": "l_linestatus", "qty": "l_quantity", "storecode": "l_partkey", "shopping_amount": "l_extendedprice",
+    "discountheader": "l_discount",
+})
+
+
+def conform_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers fitted to the declared member table."""
+    names = {"c_custkey": "ID", "c_name": "firstname", "c_acctbal": "PointBalance", "c_mktsegment": "enrollmentchannelcode"}
+    customers = _read(spark, sf_dir, "customer").select(*names).withColumnsRenamed(names)
+    return conform(customers, member_schema("club"))
+
+
+CONFORM_MEMBERS_SQL = oracles.conformed(member_ddl("club"), "customer", {
+    "id": "c_custkey", "firstname": "c_name", "pointbalance": "c_acctbal", "enrollmentchannelcode": "c_mktsegment",
+})
+
+
+def conform_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events fitted to the declared campaign table."""
+    names = {"event_id": "id", "event_type": "channel", "value": "SALE_VALUE", "user_id": "sl_no"}
+    return conform(_read(spark, sf_dir, "events").select(*names).withColumnsRenamed(names), campaign_schema())
+
+
+CONFORM_CAMPAIGNS_SQL = oracles.conformed(
+    CAMPAIGN_DDL, "events", {"id": "event_id", "Channel": "event_type", "Sale_Value": "value", "Sl_No": "user_id"}
+)
+
 
+def catalog_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders through the catalog."""
+    _read(spark, sf_dir, "orders").createOrReplaceTempView("daybook_orders")
+    return read_table(spark, "daybook_orders").groupBy("o_orderstatus").agg(F.count("*").alias("orders"))
 
-CONFORM_SQL = """
-    SELECT l_linenumber AS id, CAST(l_orderkey AS VARCHAR) AS transactionid, CAST(l_shipdate AS DATE) AS invoice_date,
-           l_returnflag AS channel, l_linestatus AS brand, CAST(l_quantity AS BIGINT) AS qty,
-           CAST(l_partkey AS VARCHAR) AS storecode, CAST(l_extendedprice AS DECIMAL(15,3)) AS shopping_amount,
-           CAST(l_discount AS DECIMAL(15,5)) AS discountheader, CAST(NULL AS VARCHAR) AS remarks
-    FROM lineitem"""
+
+CATALOG_SQL = "SELECT o_orderstatus, count(*) AS orders FROM orders GROUP BY 1"
+
+
+def _raw_tables(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    return [raw_members(spark, sf_dir), raw_transactions(spark, sf_dir), raw_campaigns(spark, sf_dir)]
+
+
+def written_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily job's written frame."""
+    path = scratch(spark, "daily")
+    daily_job(*_raw_tables(spark, sf_dir), CONFIG, path)
+    return _rounded(read_files(spark, path))
+
+
+def written_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A measure from written clean tables, the transactions in months."""
+    path = scratch(spark, "clean")
+    clean_job(*_raw_tables(spark, sf_dir), CONFIG, path, by_month=True)
+    return kpis.dormant_customers(read_clean(spark, path), CONFIG)
+
+
+def text_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer table under spreadsheet headers, written as text parquet and read back."""
+    path = scratch(spark, "text")
+    text_parquet_job(_messy_customers(spark, sf_dir), path, first_column="MonthYear")
+    return read_files(spark, path)
+
+
+def near_across_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order days near the first ship date of the order's lines in any year, also across the year's end."""
+    cfg = replace(CONFIG, wrap_year_end=True)
+    day, event = F.col("o_orderdate").cast("date"), F.col("l_shipdate").cast("date")
+    pairs = _read(spark, sf_dir, "lineitem").join(_read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return pairs.select("l_orderkey", "l_linenumber", dates.near_event(day, event, cfg).alias("is_near"))
+
+
+def _near_sql() -> str:
+    def gap(shift: int) -> str:
+        in_year = (
+            f"make_date(year(o_orderdate) + {shift}, month(l_shipdate), CASE WHEN month(l_shipdate) = 2 AND day(l_shipdate) = 29 "
+            f"THEN 28 ELSE day(l_shipdate) END)"
+        )
+        return f"abs(date_diff('day', {in_year}, CAST(o_orderdate AS DATE))) <= {CONFIG.event_window_days}"
+
+    return f"""
+        SELECT l_orderkey, l_linenumber, {gap(-1)} OR {gap(0)} OR {gap(1)} AS is_near
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
 
 def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders table written as a partitioned snapshot and read back, with the observed row count."""
-    path = _shared_folder(spark)
+    path = scratch(spark, "snapshot") + "/orders"
     rows = snapshot_job(_read(spark, sf_dir, "orders"), path, partition_by=["o_orderstatus"])
     return read_files(spark, path).withColumn("rows_written", F.lit(rows).cast("long"))
 
@@ -203,9 +284,14 @@ SNAPSHOT_SQL = "SELECT *, (SELECT count(*) FROM orders) AS rows_written FROM ord
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw campaign table written as csv and read back, first column renamed."""
-    path = _shared_folder(spark)
-    csv_job(raw_campaigns(spark, sf_dir), path, first_column="MonthYear")
-    return read_csv_export(spark, path)
+    path = scratch(spark, "csv")
+    raw = raw_campaigns(spark, sf_dir)
+    first, *others = raw.columns
+    # two exports of different column order
+    is_first = F.crc32("target_count") % 2 == 0
+    for name, rows, columns in (("a", is_first, others), ("b", ~is_first, others[::-1])):
+        csv_job(raw.where(rows).select(first, *columns), f"{path}/{name}", first_column="MonthYear")
+    return read_csv_export(spark, f"{path}/*")
 
 
 # A csv cell cannot tell an empty text from a null.
@@ -301,6 +387,13 @@ QUERIES: dict[str, tuple[Query, str]] = {
     "q_month_threshold": (month_threshold, MONTH_THRESHOLD_SQL),
     "q_header_standardise": (header_standardise, HEADER_SQL),
     "q_conform": (conform_transactions, CONFORM_SQL),
+    "q_conform_members": (conform_members, CONFORM_MEMBERS_SQL),
+    "q_conform_campaigns": (conform_campaigns, CONFORM_CAMPAIGNS_SQL),
+    "q_catalog_read": (catalog_read, CATALOG_SQL),
+    "q_daily_job": (written_daily, oracles.daily(COLUMNS, DIGITS, literal=False)),
+    "q_clean_job": (written_clean, _measure_sql("dormantcustomers")),
+    "q_text_parquet": (text_parquet, HEADER_SQL),
+    "q_near_across_years": (near_across_years, _near_sql()),
     "q_snapshot_roundtrip": (snapshot_roundtrip, SNAPSHOT_SQL),
     "q_csv_roundtrip": (csv_roundtrip, CSV_SQL),
 }
