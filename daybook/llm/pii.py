@@ -7,10 +7,12 @@ Boosted trees score each candidate by eight yes/no features of its format and co
 calibrated for precision selects which are kept.
 
 Learning needs no labels from outside: a candidate on a base span of its kind is a positive, one on a base
-span of another kind (and not its own) a negative, all others are only scored. The features make at most 256
-combinations per kind, so the counts per kind, combination and label (at most 4 x 256 x 2 rows, over all candidates of all
-documents) are all the trees need: Spark counts, the driver fits them, and the trees become one column
-expression. A kind with fewer than `LEAST` positives or negatives adds no spans.
+span of another kind (and not its own) a negative, all others are only scored. Besides, every combination of
+features that occurs counts one negative that nobody has seen yet, so that only combinations (or their likes)
+with many positives can pass. The features make at most 256 combinations per kind, so the counts per kind,
+combination and label (at most 4 x 256 x 3 rows, over all candidates of all documents) are all the trees
+need: Spark counts, the driver fits them, and the trees become one column expression. A kind with fewer than
+`LEAST` positives adds no spans. Of accepted spans of a kind that lie in one another the longest stays.
 
 Positions are code points, found by cutting the text at the matches. All patterns are linear: runs are
 possessive and start only where a run starts (or the previous match ended).
@@ -196,13 +198,13 @@ class Trees:
     """Boosted trees of depth two over the feature bits of one kind, with the threshold of their score."""
 
     def __init__(self, counts: dict[tuple[int, int], int]):
-        """counts: by mask and label."""
+        """counts: by mask and label (1, 0 or None)."""
         masks = sorted({m for m, _ in counts})
-        rows = [(m, counts.get((m, 1), 0), counts.get((m, 0), 0)) for m in masks]
+        rows = [(m, counts.get((m, 1), 0), counts.get((m, 0), 0) + 1) for m in masks]
         positive, negative = sum(p for _, p, _ in rows), sum(n for _, _, n in rows)
         self.trees: list[tuple] = []
         self.threshold = None
-        if positive < LEAST or negative < LEAST:
+        if positive < LEAST:
             return
         self.prior = math.log(positive / negative)
         score = dict.fromkeys(masks, self.prior)
@@ -254,7 +256,6 @@ def fit(found: DataFrame, more: str) -> list[Trees]:
     """One model per kind from the labelled candidates of all rows."""
     rows = (
         found.select(F.explode(more).alias("c"))
-        .where("c.label IS NOT NULL")
         .groupBy("c.kind", "c.mask", "c.label")
         .count()
         .collect()
@@ -272,8 +273,14 @@ def selected(base: Column, more: Column, models: list[Trees]) -> Column:
                 passed = passed | ((c.kind == kind) & (model.score(c["mask"]) >= model.threshold))
         return passed & ~F.coalesce(c.label == 1, F.lit(False))
 
+    def longest(kept: Column) -> Column:
+        def inside(a: Column, b: Column) -> Column:
+            return (a.kind == b.kind) & (b.start <= a.start) & (a.stop <= b.stop) & (b.stop - b.start > a.stop - a.start)
+
+        return F.filter(kept, lambda a: ~F.exists(kept, lambda b: inside(a, b)))
+
     kept = F.transform(F.filter(more, accepted), lambda c: F.struct(c.kind, c.start, c.stop))
-    return F.array_sort(F.array_distinct(F.concat(base, kept)))
+    return F.array_sort(F.array_distinct(F.concat(base, let(kept, longest))))
 
 
 def spans(docs: DataFrame, text: str = "text", base: str = "base", name: str = "spans") -> DataFrame:
