@@ -1,7 +1,7 @@
 """Times the headline queries and prints one JSON line.
 
 Each query is computed in full and written to Spark's ``noop`` sink, so nothing is collected. The
-value is the sum over the queries, each the best of three runs after a warm-up of the JVM.
+value is the sum over the queries, each the better of two runs; one query warms up the JVM first.
 """
 
 from __future__ import annotations
