@@ -35,7 +35,8 @@ from daybook.llm.common import as_bytes, id_and_text, map_arrow, scratch, settle
 
 END_ID = 1
 LEVEL = 3
-KEPT_PIECES = 250_000
+#: Pieces of a generation that a worker keeps; two generations are some 200 MB.
+KEPT_PIECES = 600_000
 #: ASCII punctuation but the apostrophe, which can begin a word.
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Of the public zstandard formats: two skippable frames, the seek table's closing mark, checksums present.
@@ -72,7 +73,7 @@ class LibraryEncoder:
         parts = {p: parted(p) for p in wanted if p not in kept}
         new = list({x for pair in parts.values() for x in pair if x not in kept})
         found = self.library.encode_batch_fast([x.decode("utf-8", "replace") for x in new], add_special_tokens=False)
-        kept.update([(x, np.array(e.ids, "<u4").tobytes()) for x, e in zip(new, found, strict=True)])
+        kept.update([(x, packed(e.ids)) for x, e in zip(new, found, strict=True)])
         kept.update([(p, kept[core] + kept[ending]) for p, (core, ending) in parts.items()])
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
@@ -85,6 +86,10 @@ class LibraryEncoder:
         return [b"".join([kept[p] for p in pieces]) for pieces in cut]
 
 
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def parted(piece: bytes) -> tuple[bytes, bytes]:
     """A core and an ending (or none) whose ids, one after the other, are those of the piece."""
     if b"<|" in piece:  # may hold a special token, whose case and marks count
