@@ -44,7 +44,7 @@ DEPTH, CONTEXT = 8, 4
 TABLE, KEPT = 100_000, 300_000
 BATCH, NOISE, RATE, STEPS = 2048, 32, 0.15, 300
 #: Tokens normalised at a time.
-BLOCK = 8192
+BLOCK = 1024
 
 
 def fold(doc_id):
@@ -295,14 +295,13 @@ PARTIAL = (
 def partial_scores(rows: DataFrame, model: Model) -> DataFrame:
     """Per row the scores of all symbols and of the table's words; `rest`: the other words, to be looked up."""
     sent = rows.sparkSession.sparkContext.broadcast(model)  # of a fixed size: TABLE words and the network
-    kinds = pa.list_(pa.struct([("word", pa.binary()), ("class", pa.int32()), ("times", pa.int32())]))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         symbols, look = Symbols(model.own).__getitem__, model.table.get
         end = float(np.log10((model.ends + SMOOTH) / model.base_total))
         for batch in slices(batches):
-            known, base, inside, counts, rest, texts = [], [], [], [], [], []
+            known, base, inside, counts, texts = [], [], [], [], []
+            rest_words, rest_times, rest_ends = [], [], [0]
             for text in as_bytes(batch):
                 words = text.lower().split()
                 at = np.array([look(w, -1) for w in words], np.int64)
@@ -316,12 +315,20 @@ def partial_scores(rows: DataFrame, model: Model) -> DataFrame:
                 base.append(float(model.table_base[hit].sum()) + end)
                 inside.append(float(model.table_inside[hit].sum()))
                 counts.append(len(words) + 1)
-                rest.append([{"word": w, "class": symbols(w), "times": n} for w, n in Counter(others).items()])
+                rest = Counter(others)
+                rest_words += rest
+                rest_times += rest.values()
+                rest_ends.append(len(rest_words))
             score = np.add.reduceat(model.net.log10(*windows(texts)), np.cumsum(counts) - counts)
+            classes = [symbols(w) for w in rest_words]
+            words_left = pa.StructArray.from_arrays(
+                [pa.array(rest_words, pa.binary()), pa.array(classes, pa.int32()), pa.array(rest_times, pa.int32())], ["word", "class", "times"]
+            )
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("key"), batch.column("doc_id"), batch.column("held_out"), pa.array(counts, pa.int64()),
-                    pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(score + inside, pa.float64()), pa.array(rest, kinds),
+                    pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(score + inside, pa.float64()),
+                    pa.ListArray.from_arrays(pa.array(rest_ends, pa.int32()), words_left),
                 ],
                 ["key", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rest"],
             )
