@@ -258,11 +258,31 @@ class Model:
         return self.tokens + SMOOTH * (self.distinct + 1)
 
 
+def frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int, int]]:
+    """The words of the highest counts as (word, class, n), by falling count: whole levels of counts, at most `most`.
+
+    A level spans about a tenth of its counts, so there are a few hundred, whose sizes say where to cut; no
+    task sends more than the words above the cut.
+    """
+    level = F.floor(F.log("n") * 10)
+    sizes = {r["level"]: r["count"] for r in counts.groupBy(level.alias("level")).count().collect()}
+    cut, held = None, 0
+    for at in sorted(sizes, reverse=True):
+        held += sizes[at]
+        if held > most:
+            break
+        cut = at
+    if cut is None:
+        return []
+    found = counts.where(level >= cut).collect()
+    return sorted(((bytes(r["word"]), r["class"], r["n"]) for r in found), key=lambda w: (-w[2], w[0]))
+
+
 def fit(rows: DataFrame, counts: DataFrame) -> Model:
     """The model of the training rows and their (written) word counts."""
     ends = rows.count()
     total = counts.agg(F.count("*").alias("distinct"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
-    top = [(bytes(r["word"]), r["class"], r["n"]) for r in counts.orderBy(F.desc("n"), "word").limit(TABLE).collect()]
+    top = frequent(counts, TABLE)
     own = {w: 1 + i for i, (w, _, _) in enumerate(top[:WORDS])}
     classes = {r["class"]: (r["n"], r["words"]) for r in counts.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()}
     share = np.zeros(SYMBOLS)
