@@ -53,8 +53,9 @@ class LibraryEncoder:
 
     No word, special token or composed character of the vocabulary reaches across ASCII white space, so
     the ids of a text are those of its pieces, and pieces that occur again are not encoded again. The
-    vocabulary ignores case and parts words from punctuation, so a piece that ends in ASCII punctuation has the ids of
-    its lower-cased core and of that ending, which occur more often. Two generations of pieces are kept.
+    vocabulary ignores case and parts words from punctuation, so a piece of ASCII alone that ends in punctuation has
+    the ids of its lower-cased core and of that ending, which occur more often. Other pieces go to the library as they
+    are: it composes characters before it lower-cases them. Two generations of pieces are kept.
     """
 
     def __init__(self, path: str, kept: int = KEPT_PIECES):
@@ -92,7 +93,7 @@ def packed(ids: list[int]) -> bytes:
 
 def parted(piece: bytes) -> tuple[bytes, bytes]:
     """A core and an ending (or none) whose ids, one after the other, are those of the piece."""
-    if b"<|" in piece:  # may hold a special token, whose case and marks count
+    if b"<|" in piece or not piece.isascii():  # may hold a special token, or letters that compose before case is lost
         return piece, b""
     core = piece.rstrip(MARKS)
     if core and core != piece and core[-1:].isalnum():

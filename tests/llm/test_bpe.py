@@ -43,6 +43,14 @@ def test_ids_are_the_library_s(library, texts, encoder):
         assert [np.frombuffer(f, "<u4").tolist() for f in found] == expected[i : i + 500]
 
 
+@pytest.mark.parametrize("pair", ["J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a"])
+def test_capitals_that_compose_only_in_lower_case(library, pair):
+    texts = [pair, f"{pair}ON, a{pair}", f"({pair}n)."]
+    expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    for coder in (bpe.Bpe(bpe.default_path()), token_files.LibraryEncoder(bpe.default_path())):
+        assert [np.frombuffer(f, "<u4").tolist() for f in coder.encode([t.encode() for t in texts])] == expected
+
+
 def test_decoding_is_the_library_s(library, texts):
     coder = bpe.Bpe(bpe.default_path())
     for text, ids in zip(texts, coder.encode([t.encode() for t in texts]), strict=True):
