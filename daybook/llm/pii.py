@@ -8,11 +8,14 @@ calibrated for precision selects which are kept.
 
 Learning needs no labels from outside: a candidate on a base span of its kind is a positive, one on a base
 span of another kind (and not its own) a negative, all others are only scored. Besides, every combination of
-features that occurs counts one negative that nobody has seen yet, so that only combinations (or their likes)
-with many positives can pass. The features make at most 256 combinations per kind, so the counts per kind,
-combination and label (at most 4 x 256 x 3 rows, over all candidates of all documents) are all the trees
-need: Spark counts, the driver fits them, and the trees become one column expression. A kind with fewer than
-`LEAST` positives adds no spans. Of accepted spans of a kind that lie in one another the longest stays.
+features that occurs counts one negative that nobody has seen yet. A combination passes if its score does and if
+it reaches the wanted precision by its own positives, so one without positives, such as written-out e-mails, which
+no base span can confirm, never passes, however large the table. Candidates of the same text in the same
+surroundings count once: copies of a document are no further evidence, and change no span of another one.
+The features make at most 256 combinations per kind, so the counts per kind, combination and label (at most
+4 x 256 x 3 rows, over all candidates of all documents) are all the trees need: Spark counts, the driver fits
+them, and the trees become one column expression. A kind with fewer than `LEAST` positives adds no spans. Of
+accepted spans of a kind that lie in one another the longest stays.
 
 Positions are code points, found by cutting the text at the matches. All patterns are linear: runs are
 possessive and start only where a run starts (or the previous match ended).
@@ -156,7 +159,8 @@ def candidates(text: Column, kind: int, pattern: str) -> Column:
             value.rlike("[A-Za-z]"),
         )
         mask = reduce(lambda a, b: a + b, [F.when(a, F.lit(1 << i)).otherwise(0) for i, a in enumerate(answers)])
-        return F.struct(F.lit(kind).alias("kind"), m.start.alias("start"), stop.alias("stop"), mask.alias("mask"))
+        seen = F.xxhash64(before, value, after)
+        return F.struct(F.lit(kind).alias("kind"), m.start.alias("start"), stop.alias("stop"), mask.alias("mask"), seen.alias("seen"))
 
     found = located(text, pattern)
     if kind in (1, 2):
@@ -185,17 +189,18 @@ def proposed(docs: DataFrame, text: str, base: str, more: str) -> DataFrame:
     def labelled(c: Column) -> Column:
         own = F.exists(col(base), lambda b: (b.kind == c.kind) & overlap(b, c))
         other = F.exists(col(base), lambda b: overlap(b, c))
-        return F.struct(c.kind, c.start, c.stop, c["mask"], F.when(own, 1).when(other, 0).alias("label"))
+        return F.struct(c.kind, c.start, c.stop, c["mask"], c.seen, F.when(own, 1).when(other, 0).alias("label"))
 
     return rows.withColumn(more, F.transform(F.array_distinct(col(at)), labelled)).drop(may, at)
 
 
 def found_none() -> Column:
-    return F.array().cast("array<struct<kind: int, start: int, stop: int, mask: int>>")
+    return F.array().cast("array<struct<kind: int, start: int, stop: int, mask: int, seen: bigint>>")
 
 
 class Trees:
-    """Boosted trees of depth two over the feature bits of one kind, with the threshold of their score."""
+    """Boosted trees of depth two over the feature bits of one kind, the threshold of their score, and the
+    combinations (masks) that are right often enough by themselves."""
 
     def __init__(self, counts: dict[tuple[int, int], int]):
         """counts: by mask and label (1, 0 or None)."""
@@ -203,6 +208,7 @@ class Trees:
         rows = [(m, counts.get((m, 1), 0), counts.get((m, 0), 0) + 1) for m in masks]
         positive, negative = sum(p for _, p, _ in rows), sum(n for _, _, n in rows)
         self.trees: list[tuple] = []
+        self.proven = [m for m, p, n in rows if p >= PRECISION * (p + n)]
         self.threshold = None
         if positive < LEAST:
             return
@@ -253,10 +259,12 @@ class Trees:
 
 
 def fit(found: DataFrame, more: str) -> list[Trees]:
-    """One model per kind from the labelled candidates of all rows."""
+    """One model per kind from the labelled candidates of all rows, equal ones in equal surroundings once."""
     rows = (
         found.select(F.explode(more).alias("c"))
-        .groupBy("c.kind", "c.mask", "c.label")
+        .select("c.kind", "c.mask", "c.label", "c.seen")
+        .distinct()
+        .groupBy("kind", "mask", "label")
         .count()
         .collect()
     )
@@ -270,7 +278,8 @@ def selected(base: Column, more: Column, models: list[Trees]) -> Column:
         passed = F.lit(False)
         for kind, model in enumerate(models):
             if model.threshold is not None:
-                passed = passed | ((c.kind == kind) & (model.score(c["mask"]) >= model.threshold))
+                proven = c["mask"].isin(model.proven) if model.proven else F.lit(False)
+                passed = passed | ((c.kind == kind) & proven & (model.score(c["mask"]) >= model.threshold))
         return passed & ~F.coalesce(c.label == 1, F.lit(False))
 
     def longest(kept: Column) -> Column:

@@ -70,6 +70,19 @@ def test_added_spans(spark, taught):
         assert found[r["doc_id"]]["spans"] == joined(base(r["text"]))
 
 
+def test_copies_of_a_table_change_no_spans(spark):
+    """Copies are no evidence: nothing unproven passes in a larger table, and what is proven passes in all."""
+    rows = [(i, f"call +1 (314) 555-{6100 + i} or write a{i}@b.org, paid 4111111111111111 from 10.0.0.{i} today") for i in range(60)]
+    rows += [(60, "call +1 (314) 555-6532 4111111111111111 was seen"), (61, "ask bob (at) ex.com"), (62, "mail: eve [at] ex (dot) org")]
+    rows += [(63 + i, f"x{5000 + i}@c.org/") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = {i: joined(base(t)) for i, t in rows} | {60: "card:23:39,phone:5:22"}
+    for copies in (1, 10, 100):
+        found = pii.digests(pii.spans(docs.crossJoin(spark.range(copies).select()))).select("doc_id", "spans")
+        assert {tuple(r) for r in found.distinct().collect()} == set(expected.items()), copies
+        assert found.count() == copies * len(rows)
+
+
 def test_redaction(spark, taught):
     rows = {r["doc_id"]: r for r in pii.redact(taught.selectExpr("*", "length(text) AS n_chars", "1 AS spans", "2 AS may")).collect()}
     assert rows[3]["text"] == "then <PHONE> or write <EMAIL>, paid <CARD> from <IP> today" and rows[3]["n_chars"] == len(rows[3]["text"])
