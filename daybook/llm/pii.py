@@ -179,7 +179,7 @@ def proposed(docs: DataFrame, text: str, base: str, more: str) -> DataFrame:
     """
     raw = F.coalesce(col(text), F.lit(""))
     may, at = fresh("may", docs.columns), fresh("at", docs.columns)
-    rows = docs.withColumn(may, F.when(raw.rlike("[0-9][ ().-]?[0-9]|@|[(\\[{]at[)\\]}]"), raw).otherwise(""))
+    rows = docs.withColumn(may, F.when(raw.rlike("[0-9][ ().-]?[0-9]|\\+[0-9]|@|[(\\[{]at[)\\]}]"), raw).otherwise(""))
     none = F.array().cast(f"array<{SPAN}>")
     spans = F.concat(*[base_spans(col(may), kind) for kind in range(len(KINDS))])
     rows = rows.withColumn(base, F.when(col(may) == "", none).otherwise(spans))

@@ -53,6 +53,12 @@ def test_base_spans(spark):
     assert pii.digests(pii.spans(tables.empty(spark))).count() == 0
 
 
+def test_a_phone_of_single_digits(spark):
+    text = "+1 (2) - (3) - (4) - (5) - (6) - (7) - (8)"
+    assert base(text) == [(3, 0, len(text) - 1)]
+    assert [r["n_phone"] for r in pii.digests(pii.spans(spark.createDataFrame([(1, text)], "doc_id long, text string"))).collect()] == [1]
+
+
 @pytest.fixture(scope="module")
 def taught(spark):
     """Enough plain cases to learn from, and one whose card and phone run into each other."""
