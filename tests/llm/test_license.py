@@ -39,3 +39,17 @@ def test_every_template_finds_itself(spark):
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
     found = {r["doc_id"]: r for r in license.summary(license.scan(docs)).collect()}
     assert all(found[i]["license"] == name and found[i]["dice"] == 1.0 for i, _, name in rows)
+
+
+def test_notices_inside_longer_texts(spark):
+    """Of several paragraphs among prose, inside a line, in a text without line ends; and nothing in mere prose."""
+    prose = "some words of code and prose that say nothing at all about terms " * 20
+    mit = MIT.replace(" The above", "\n\nThe above").replace(" THE SOFTWARE IS", "\n\nTHE SOFTWARE IS")
+    apache = license.TEMPLATES["apache-2.0"][1].replace(" Unless", "\n\nUnless").replace(" You may", "\n\nYou may")
+    bsd = license.TEMPLATES["bsd-3-clause"][3].replace(" 1.", "\n\n1.").replace(" 2.", "\n\n2.").replace(" 3.", "\n\n3.").replace(" THIS", "\n\nTHIS")
+    inline = "Copyright 2020 The Authors. Released under the MIT License. See the file LICENSE for details."
+    cases = [(f"{prose}\n\n{t}\n\n{prose}", name) for t, name in ((mit, "mit"), (apache, "apache-2.0"), (bsd, "bsd-3-clause"))]
+    cases += [(inline, "mit"), (prose + inline + prose, "mit"), (prose, ""), ("x SPDX-License-Identifier: Zlib y", "")]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    found = {r["doc_id"]: (r["licenses"], r["n_passages"]) for r in license.summary(license.scan(docs)).collect()}
+    assert found == {i: (name, int(name != "")) for i, (_, name) in enumerate(cases)}
