@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import bpe, decontaminate, license, lm, pii, quality, secrets, simhash, token_files, topk
+from daybook.llm import bpe, decontaminate, interaction, license, lm, pii, quality, secrets, simhash, token_files, topk
 from daybook.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scanned(spark, documents(spark, sf_dir)))
 
 
+def op11_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interaction.audit(spark, f"{sf_dir}/documents.parquet", spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_license": op2_license,
@@ -68,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op8_topk": op8_topk,
     "op9_bpe": op9_bpe,
     "op10_secrets": op10_secrets,
+    "op11_interaction": op11_interaction,
 }
 
 OP8_SQL = """
@@ -85,4 +90,50 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 5
 """
 
-ORACLES: dict[str, str] = {"op8_topk": OP8_SQL}
+OP11_SQL = r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+           list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+    FROM documents
+), failed AS (
+    SELECT part, doc_id,
+           CASE WHEN len(words) < 200 THEN 'A' ELSE '' END
+           || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+           || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) THEN 'C' ELSE '' END
+           || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+           || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS fails
+    FROM texts
+), flagged AS (
+    SELECT part, fails, doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good,
+           doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS toxic
+    FROM failed
+), counted AS (
+    SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM flagged GROUP BY 1, 2
+), letters AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c
+), orders AS (
+    SELECT a.c || b.c || c.c || d.c || e.c AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5
+), steps AS (
+    SELECT filter_order, step, substr(filter_order, step, 1) AS own, substr(filter_order, 1, step - 1) AS earlier
+    FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+), outcomes AS (
+    SELECT *, contains(fails, own) AS fails_own, earlier <> '' AND regexp_matches(fails, '[' || earlier || 'x]') AS gone
+    FROM counted, steps
+), report AS (
+    SELECT part, filter_order, step, own,
+           CAST(coalesce(sum(n) FILTER (NOT fails_own AND NOT gone), 0) AS BIGINT) AS kept,
+           CAST(coalesce(sum(n) FILTER (fails_own AND NOT gone), 0) AS BIGINT) AS removed,
+           CAST(coalesce(sum(n) FILTER (fails_own AND gone), 0) AS BIGINT) AS redundant,
+           CAST(coalesce(sum(n) FILTER (fails = own), 0) AS BIGINT) AS unique_fails,
+           CAST(coalesce(sum(good) FILTER (fails_own AND NOT gone), 0) AS BIGINT) AS good_lost,
+           CAST(coalesce(sum(toxic) FILTER (fails_own AND NOT gone), 0) AS BIGINT) AS toxic_lost
+    FROM outcomes GROUP BY 1, 2, 3, 4
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM report
+"""
+
+ORACLES: dict[str, str] = {"op8_topk": OP8_SQL, "op11_interaction": OP11_SQL}
