@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import bpe, decontaminate, interaction, license, lm, pii, quality, secrets, simhash, token_files, topk
+from daybook.llm import bpe, decontaminate, interaction, license, lm, negatives, neighbours, pii, quality, secrets, simhash, token_files, topk
 from daybook.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,15 @@ def op11_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interaction.audit(spark, f"{sf_dir}/documents.parquet", spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.neighbours(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(negatives.quantised(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), label))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_license": op2_license,
@@ -73,6 +82,8 @@ QUERIES: dict[str, Query] = {
     "op9_bpe": op9_bpe,
     "op10_secrets": op10_secrets,
     "op11_interaction": op11_interaction,
+    "op12_neighbours": op12_neighbours,
+    "op13_negatives": op13_negatives,
 }
 
 OP8_SQL = """
@@ -136,4 +147,27 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redunda
 FROM report
 """
 
-ORACLES: dict[str, str] = {"op8_topk": OP8_SQL, "op11_interaction": OP11_SQL}
+OP13_SQL = """
+WITH usable AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+           CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM usable a JOIN usable c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+ORACLES: dict[str, str] = {"op8_topk": OP8_SQL, "op11_interaction": OP11_SQL, "op13_negatives": OP13_SQL}
