@@ -125,6 +125,21 @@ def test_ids_with_a_blank_before_the_suffix(spark):
     assert each(spark, lambda v: ids.clean_id(v, TEXT, LITERAL), values) == ["123", "123.0", "123", "", "None"]
 
 
+def test_ids_mention_their_cell_at_most_twice():
+    """Optimised plans repeat the expression; its own repetitions multiply with that."""
+    cell = F.col("cell_of_the_card")
+    assert str(ids.clean_id(cell, TEXT, CONFIG)).count("cell_of_the_card") <= 2
+    assert str(ids.clean_id(cell, TEXT, LITERAL)).count("cell_of_the_card") == 1
+
+
+def test_only_the_end_of_an_id_is_a_suffix(spark):
+    values = ["1.0.0", "5.0 .0", "1.0x", "a.0\n", ".0.0", "0.0", "x\n.0", "None .0", "  "]
+    cleaned = each(spark, lambda v: ids.clean_id(v, TEXT, CONFIG), values)
+    assert cleaned == ["1.0", "5.0", "1.0x", "a.0\n", ".0", "0", "x\n", None, None]
+    literal = each(spark, lambda v: ids.clean_id(v, TEXT, LITERAL), values)
+    assert literal == ["1.0", "5.0", "1.0x", "a.0\n", ".0", "0", "x\n", "None", ""]
+
+
 def _pairs(spark, function, rows):
     frame = spark.createDataFrame([(i, *row) for i, row in enumerate(rows)], "i int, day date, event date")
     return [row[1] for row in frame.select("i", function(F.col("day"), F.col("event"))).orderBy("i").collect()]
