@@ -21,22 +21,26 @@ from __future__ import annotations
 
 import struct
 import uuid
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import as_bytes, id_and_text, map_arrow, scratch, settle, slices
+from daybook.llm.common import id_and_text, map_arrow, scratch, settle, slices
 
 END_ID = 1
 LEVEL = 3
 #: Pieces of a generation that a worker keeps; two generations are some 200 MB.
 KEPT_PIECES = 600_000
+#: Bytes of text whose pieces are numbered together.
+ENCODED_BYTES = 16 << 20
 #: ASCII punctuation but the apostrophe, which can begin a word.
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Of the public zstandard formats: two skippable frames, the seek table's closing mark, checksums present.
@@ -52,10 +56,13 @@ class LibraryEncoder:
     """Encodes whole texts with the tokenizers library.
 
     No word, special token or composed character of the vocabulary reaches across ASCII white space, so
-    the ids of a text are those of its pieces, and pieces that occur again are not encoded again. The
-    vocabulary ignores case and parts words from punctuation, so a piece of ASCII alone that ends in punctuation has
-    the ids of its lower-cased core and of that ending, which occur more often. Other pieces go to the library as they
-    are: it composes characters before it lower-cases them. Two generations of pieces are kept.
+    the ids of a text are those of its pieces. Arrow cuts the texts of a slice and numbers their different pieces; only
+    for each different piece is there work in Python, and its ids are put in the places of its numbers by numpy.
+
+    The vocabulary ignores case and parts words from punctuation, so a piece of ASCII alone that ends in punctuation has
+    the ids of its lower-cased core and of that ending, which occur more often. A core of the letters a to z passes the
+    library's normaliser and pre-tokenizer unchanged and as one word, so it goes to the library's model at once. Other pieces
+    go to the library as they are: it composes characters before it lower-cases them. Two generations of pieces are kept.
     """
 
     def __init__(self, path: str, kept: int = KEPT_PIECES):
@@ -64,39 +71,58 @@ class LibraryEncoder:
         self.library, self.kept = Tokenizer.from_file(path), kept
         self.library.no_truncation()
         self.library.no_padding()
-        self.pieces: dict[bytes, bytes] = {}
+        self.model = self.library.model
+        self.packed = [struct.pack("<I", i) for i in range(self.library.get_vocab_size())]
+        self.pieces: dict[bytes, bytes] = {b"": b""}
         self.older: dict[bytes, bytes] = {}
 
-    def lookup(self, wanted: set[bytes]) -> None:
+    def lookup(self, wanted: list[bytes]) -> None:
         """Makes sure that all of them are kept."""
-        kept, older = self.pieces, self.older
+        kept, older, packed = self.pieces, self.older, self.packed
         kept.update([(p, older[p]) for p in wanted if p in older])
-        parts = {p: parted(p) for p in wanted if p not in kept}
-        new = list({x for pair in parts.values() for x in pair if x not in kept})
-        found = self.library.encode_batch_fast([x.decode("utf-8", "replace") for x in new], add_special_tokens=False)
-        kept.update([(x, packed(e.ids)) for x, e in zip(new, found, strict=True)])
-        kept.update([(p, kept[core] + kept[ending]) for p, (core, ending) in parts.items()])
+        parts = [(p, *parted(p)) for p in wanted if p not in kept]
+        new = {x for _, core, ending in parts for x in (core, ending) if x not in kept}
+        words = [x for x in new if x.isalpha() and x.isascii() and x.islower()]
+        tokenize = self.model.tokenize
+        kept.update([(x, b"".join([packed[t.id] for t in tokenize(x.decode())])) for x in words])
+        others = list(new.difference(words))
+        found = self.library.encode_batch_fast([x.decode("utf-8", "replace") for x in others], add_special_tokens=False)
+        kept.update([(x, b"".join([packed[i] for i in e.ids])) for x, e in zip(others, found, strict=True)])
+        kept.update([(p, kept[core] + kept[ending]) for p, core, ending in parts])
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
+        return self.encode_column(pa.array(texts, pa.binary()).view(pa.string()))
+
+    def encode_column(self, texts: pa.Array) -> list[bytes]:
+        """The packed ids of every text (no nulls)."""
         if len(self.pieces) > self.kept:
-            self.older, self.pieces = self.pieces, {}
-        cut = [t.split() for t in texts]
-        kept = self.pieces
-        if wanted := {p for pieces in cut for p in pieces if p not in kept}:
+            self.older, self.pieces = self.pieces, {b"": b""}
+        cut = pa.compute.ascii_split_whitespace(texts)
+        pieces = cut.flatten().dictionary_encode()
+        words, kept = pieces.dictionary.cast(pa.binary()).to_pylist(), self.pieces
+        if wanted := [p for p in words if p not in kept]:
             self.lookup(wanted)
-        return [b"".join([kept[p] for p in pieces]) for pieces in cut]
-
-
-def packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+        found = [kept[p] for p in words]
+        flat = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.array([len(x) for x in found], np.int64) // 4
+        numbers = pieces.indices.to_numpy()
+        lengths = sizes[numbers]
+        stops = np.r_[0, np.cumsum(lengths)]
+        # where each id comes from: its place behind the start of its piece's ids
+        source = np.repeat((np.cumsum(sizes) - sizes)[numbers] - stops[:-1], lengths)
+        source += np.arange(len(source))
+        ids = flat[source].tobytes()
+        offsets = cut.offsets.to_numpy() - cut.offsets[0].as_py()
+        bounds = (4 * stops[offsets]).tolist()
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
 def parted(piece: bytes) -> tuple[bytes, bytes]:
     """A core and an ending (or none) whose ids, one after the other, are those of the piece."""
-    if b"<|" in piece or not piece.isascii():  # may hold a special token, or letters that compose before case is lost
+    if not piece.isascii() or b"<|" in piece:  # letters that compose before case is lost, or maybe a special token
         return piece, b""
     core = piece.rstrip(MARKS)
-    if core and core != piece and core[-1:].isalnum():
+    if len(core) < len(piece) and core[-1:].isalnum():
         return core.lower(), piece[len(core) :]
     return piece.lower(), b""
 
@@ -179,12 +205,12 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID) -> Data
         first = last = None
         shard, coder = TaskContext.get().partitionId(), library_encoder(path)
         file = f"{folder}/shard-{shard:07d}-{uuid.uuid4().hex}.zst"
-        for batch in slices(batches):
+        for batch in slices(batches, size=ENCODED_BYTES):
             if writer is None:
                 system, place = fs.FileSystem.from_uri(file)
                 out = system.open_output_stream(place, compression=None)
                 writer = ShardWriter(out)
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), coder.encode(as_bytes(batch)), strict=True):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), coder.encode_column(batch.column("text")), strict=True):
                 writer.add(doc_id, ids + end)
                 first, last = doc_id if first is None else first, doc_id if doc_id is not None else last
         if writer is not None:
@@ -208,19 +234,24 @@ def read(manifest: DataFrame, wanted: list[int] | None = None) -> DataFrame:
 
     For wanted documents only shards that may hold them are opened, and only their frames decompressed.
     """
-    asked = None if wanted is None else set(wanted)
-    shards = manifest
-    if asked is not None:
-        spans = F.lit(False)
-        for w in sorted(asked):
-            spans |= F.lit(w).between(F.col("first_doc"), F.col("last_doc"))
-        shards = shards.where(spans)
+    asked = None if wanted is None else sorted(set(wanted))
+
+    def may_hold(first: int | None, last: int | None) -> bool:
+        """Whether an asked document can be in a shard of these ids (none: of documents without id)."""
+        if asked is None or last is None:
+            return asked is None
+        at = 0 if first is None else bisect_left(asked, first)
+        return at < len(asked) and asked[at] <= last
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
+        chosen = None if asked is None else set(asked)
         for batch in batches:
-            for file, base in zip(batch.column("file").to_pylist(), batch.column("base").to_pylist(), strict=True):
+            for row in batch.to_pylist():
+                file, base = row["file"], row["base"]
+                if not may_hold(row["first_doc"], row["last_doc"]):
+                    continue
                 system, place = fs.FileSystem.from_uri(file)
                 with system.open_input_file(place) as source:
                     shard = ShardReader(source)
@@ -228,7 +259,7 @@ def read(manifest: DataFrame, wanted: list[int] | None = None) -> DataFrame:
                     rows: list[tuple] = []
                     held = 0
                     for i, doc_id in enumerate(shard.doc_ids):
-                        if asked is None or doc_id in asked:
+                        if chosen is None or doc_id in chosen:
                             rows.append((doc_id, int(starts[i]), shard.ids(i)))
                             held += len(rows[-1][2])
                         if held > 4 << 20 or len(rows) >= 10_000:
@@ -237,7 +268,7 @@ def read(manifest: DataFrame, wanted: list[int] | None = None) -> DataFrame:
                     yield batch_of(rows)
 
     # a task per shard: by a stated number, which adaptive execution leaves as it is
-    spread = shards.select("file", "base").repartition(max(1, shards.count()), "file")
+    spread = manifest.select("file", "base", "first_doc", "last_doc").repartition(max(1, manifest.count()), "file")
     return map_arrow(spread, run, "doc_id long, start long, token_ids binary")
 
 
