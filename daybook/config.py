@@ -86,8 +86,8 @@ class Config:
     wrap_year_end: bool = False
     # What an unreadable campaign number becomes: "zero" or "null".
     bad_number: str = "zero"
-    # What amounts and campaign figures are added up in. A double loses no value; a decimal type adds up
-    # exactly, but cells that it cannot hold become null.
+    # What amounts and campaign figures are added up in. Doubles lose no value and are added up exactly, rounded once
+    # (``functions.exact``); a decimal type adds up exactly as well, but cells that it cannot hold become null.
     amount_type: str = "double"
     figure_type: str = "double"
     # Texts that an all-text export writes for a blank cell.
@@ -108,6 +108,15 @@ class Config:
         object.__setattr__(self, "program_channels", tuple(c.lower() for c in self.program_channels))
         object.__setattr__(self, "category_keyword", self.category_keyword.lower())
 
+    @property
+    def exact_amounts(self) -> bool:
+        """Whether amounts are doubles to be added up without regard to their order. The literal job adds them as they come."""
+        return not self.literal and self.amount_type == "double"
+
+    @property
+    def exact_figures(self) -> bool:
+        return not self.literal and self.figure_type == "double"
+
     @property
     def literal(self) -> bool:
         """True when the literal results of the replaced job are wanted."""

@@ -14,8 +14,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from daybook.config import Config
+from daybook.functions import exact
 from daybook.functions.dates import first_after, near_event
-from daybook.operators.cards import card_days, member_cards, with_history
+from daybook.operators.cards import card_days, card_days_in_parts, member_cards, with_history
 from daybook.operators.population import clamp_entry
 from daybook.sources.tables import Tables
 
@@ -30,6 +31,8 @@ MEMBER = (
 STATE = ("membersarchived", "dormantcustomers", "lowpointbalancecustomers")
 ALL = SALES + MEMBER + STATE
 
+_AMOUNTS = {name for name in ALL if name.endswith("sales")}
+
 # Name of the column that marks the days on which the calendar may end.
 FOCUS_DAY = "is_focus_day"
 
@@ -80,33 +83,36 @@ def _entry_day(name: str, cfg: Config) -> Column:
     return F.col("low_points_since")
 
 
-def _day_measure(name: str) -> Column:
-    """Aggregate over the splits of a day. A card has one row per day, so rows are cards."""
+def _day_measure(name: str, in_parts: bool) -> list[Column]:
+    """Aggregates over the splits of a day. A card has one row per day that counts, so rows are cards."""
     is_purchase = F.col("kind") == _PURCHASE
 
     def cards(condition):
         return F.sum(F.when(is_purchase & condition, F.col("cards")))
 
     def total(condition):
-        return F.sum(F.when(is_purchase & condition, F.col("amount"))).cast("double")
+        if in_parts:
+            return exact.group_sums(name, "amount", f"kind = '{_PURCHASE}' AND {condition}")
+        return F.sum(F.when(is_purchase & F.expr(condition), F.col("amount"))).cast("double")
 
     measures = {
         "newcustomercount": lambda: cards(F.col("is_first")),
         "repeatcustomercount": lambda: cards(~F.col("is_first")),
         "totalcustomertransactions": lambda: cards(F.lit(True)),
-        "newcustomersales": lambda: total(F.col("is_first")),
-        "repeatcustomersales": lambda: total(~F.col("is_first")),
-        "transactedcustomersales": lambda: total(F.lit(True)),
+        "newcustomersales": lambda: total("is_first"),
+        "repeatcustomersales": lambda: total("NOT is_first"),
+        "transactedcustomersales": lambda: total("TRUE"),
         "birthdaycustomercount": lambda: cards(F.col("near_birthday")),
-        "birthdaycustomersales": lambda: total(F.col("near_birthday")),
+        "birthdaycustomersales": lambda: total("near_birthday"),
         "anncustomercount": lambda: cards(F.col("near_anniversary")),
-        "annvcustomersales": lambda: total(F.col("near_anniversary")),
+        "annvcustomersales": lambda: total("near_anniversary"),
     }
     if name in measures:
-        return measures[name]()
+        measure = measures[name]()
+        return measure if isinstance(measure, list) else [measure.alias(name)]
     if name in STATE:
-        return F.sum(F.when(F.col("kind") == name, F.col("cards")))
-    return F.sum(F.when(is_purchase, F.col(name)))
+        return [F.sum(F.when(F.col("kind") == name, F.col("cards"))).alias(name)]
+    return [F.sum(F.when(is_purchase, F.col(name))).alias(name)]
 
 
 def activity_by_day(tables: Tables, cfg: Config, measures: Iterable[str] = ALL) -> DataFrame:
@@ -118,7 +124,11 @@ def activity_by_day(tables: Tables, cfg: Config, measures: Iterable[str] = ALL)
     asked = list(measures)
     states = [name for name in STATE if name in asked]
     splits = [name for name, users in _SPLITS.items() if users & set(asked)]
-    rows = with_history(card_days(tables.transactions, cfg))
+    in_parts = cfg.exact_amounts and bool(set(asked) & _AMOUNTS)
+    rows = with_history((card_days_in_parts if in_parts else card_days)(tables.transactions, cfg))
+    # of a card and day only one row counts; rows of cards without purchases have no bin
+    counts = F.coalesce(F.col("amount_bin"), F.lit(0)) == 0 if in_parts else F.lit(True)
+    bins, sums = (["amount_bin"], exact.summed("amount")) if in_parts else ([], [F.sum("amount").alias("amount")])
     if set(asked) & set(MEMBER + STATE):
         # Members without purchases matter to the state measures only.
         how = "full" if states else "left"
@@ -131,7 +141,7 @@ def activity_by_day(tables: Tables, cfg: Config, measures: Iterable[str] = ALL)
         F.struct(F.lit(name).alias("kind"), clamp_entry(_entry_day(name, cfg), cfg.spine_start).alias("on"))
         for name in states
     ]
-    speaks_for_card = F.col("date").isNull() | (F.col("date") == F.col("first_day"))
+    speaks_for_card = F.col("date").isNull() | ((F.col("date") == F.col("first_day")) & counts)
     spoken = F.when(speaks_for_card, F.array(own, *entries)).otherwise(F.array(own)) if entries else F.array(own)
     rows = rows.withColumns({name: _split(name, cfg) for name in splits}).select("*", F.inline(spoken))
 
@@ -140,24 +150,25 @@ def activity_by_day(tables: Tables, cfg: Config, measures: Iterable[str] = ALL)
     is_member = F.col("enrolled").isNotNull()
     flags = {
         "crosschannelbuyers": lambda: F.sum(
-            F.when(F.col("date") == F.col("first_focus_day"), first_focus_reasons(cfg)).otherwise(0)
+            F.when((F.col("date") == F.col("first_focus_day")) & counts, first_focus_reasons(cfg)).otherwise(0)
         ),
         "diamondenthusiasts": lambda: F.count_if(F.col("keyword_in_focus") & is_member),
         "activecustomers": lambda: F.count_if(F.col("spent_in_program") & (F.col("date") >= F.col("enrolled"))),
     }
     per_split = (
         rows.filter(F.col("on").isNotNull())
-        .groupBy("on", "kind", *splits)
+        .groupBy("on", "kind", *splits, *bins)
         .agg(
-            F.count("*").alias("cards"),
-            F.sum("amount").alias("amount"),
+            F.count_if(counts).alias("cards"),
+            *sums,
             F.bool_or(F.coalesce("in_focus", F.lit(False))).alias("in_focus"),
             *[column().alias(name) for name, column in flags.items() if name in asked],
         )
     )
     is_focus_day = F.bool_or(F.col("in_focus") & F.col("kind").isin(_PURCHASE, _NO_CARD))
     per_day = per_split.groupBy(F.col("on").alias("date")).agg(
-        *[_day_measure(name).alias(name) for name in asked], is_focus_day.alias(FOCUS_DAY)
+        *[column for name in asked for column in _day_measure(name, in_parts)], is_focus_day.alias(FOCUS_DAY)
     )
-    counts = [name for name in asked if not name.endswith("sales")]
-    return per_day.fillna(0, subset=counts)
+    if in_parts:
+        per_day = exact.finish(per_day, *[name for name in asked if name in _AMOUNTS])
+    return per_day.fillna(0, subset=[name for name in asked if name not in _AMOUNTS])

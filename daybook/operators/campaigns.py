@@ -7,14 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from daybook.config import Config
+from daybook.functions import exact
 
 LABELS = ("channel", "brand", "region")
-TOTALS = ("campaignsdeployed", "targetedcount", "buyers", "incrementalrev", "sale_value_1", "conversion_1")
 
 
-def _label_set(name: str, cfg: Config) -> Column:
+FIGURES = ("target_count", "buyers", "incremental_rev", "sale_value_1", "conversion_1")
+
+
+def _joined(labels: Column, cfg: Config) -> Column:
     """Distinct labels in text order. No label at all is null (literal variant: empty text)."""
-    joined = F.concat_ws(", ", F.sort_array(F.collect_set(name)))
+    joined = F.concat_ws(", ", F.sort_array(labels))
     return joined if cfg.literal else F.nullif(joined, F.lit(""))
 
 
@@ -22,31 +25,50 @@ def campaigns_by_day(campaigns: DataFrame, cfg: Config, labels: Sequence[str] =
     """One row per deployment day: campaigns, targets, buyers, revenue, sales, mean conversion, labels.
 
     With labels, rows are added up per day and label combination first, so that the label sets of a day with
-    very many campaigns are built from its distinct combinations instead of its rows. Without, one
-    aggregation does.
+    very many campaigns are built from its distinct combinations instead of its rows.
     """
-    date = F.col("deploy_date").alias("date")
-    sums = {
-        "campaignsdeployed": F.count_if("is_counted"),
-        "targetedcount": F.sum("target_count"),
-        "buyers": F.sum("buyers"),
-        "incrementalrev": F.sum("incremental_rev"),
-        "sale_value_1": F.sum("sale_value_1"),
-        "conversion_sum": F.sum("conversion_1"),
-        "conversions": F.count("conversion_1"),
-    }
-    named = [column.alias(name) for name, column in sums.items()]
-    if labels:
-        combinations = campaigns.groupBy(date, *labels).agg(*named)
-        per_day = combinations.groupBy("date").agg(
-            *[F.sum(name).alias(name) for name in sums], *[_label_set(name, cfg).alias(name) for name in labels]
-        )
-    else:
-        per_day = campaigns.groupBy(date).agg(*named)
-    return per_day.select(
-        "date", "campaignsdeployed", "targetedcount", "buyers",
-        F.col("incrementalrev").cast("double").alias("incrementalrev"),
+    totals = _exact_totals if cfg.exact_figures else _plain_totals
+    return totals(campaigns.withColumn("date", F.col("deploy_date")), labels).select(
+        "date", "campaignsdeployed", F.col("target_count").alias("targetedcount"), "buyers",
+        F.col("incremental_rev").cast("double").alias("incrementalrev"),
         F.col("sale_value_1").cast("double").alias("sale_value_1"),
-        F.try_divide(F.col("conversion_sum").cast("double"), "conversions").alias("conversion_1"),
-        *labels,
+        F.try_divide(F.col("conversion_1").cast("double"), "conversions").alias("conversion_1"),
+        *[_joined(F.col(name), cfg).alias(name) for name in labels],
     )
+
+
+def _plain_totals(campaigns: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """Counts, sums of the figures and label lists per day."""
+    sums = [F.sum(name).alias(name) for name in FIGURES]
+    counts = [F.count_if("is_counted").alias("campaignsdeployed"), F.count("conversion_1").alias("conversions")]
+    partial = campaigns.groupBy("date", *labels).agg(*counts, *sums)
+    if not labels:
+        return partial
+    again = [F.sum(name).alias(name) for name in ("campaignsdeployed", "conversions", *FIGURES)]
+    return partial.groupBy("date").agg(*again, *[F.collect_set(name).alias(name) for name in labels])
+
+
+def _exact_totals(campaigns: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """The same with sums that do not depend on the order of the rows (``functions.exact``).
+
+    The figures are stacked, so that one set of sums serves all of them: by day, labels, figure and bin first, of which
+    a day and figure nearly always has one, then by day.
+    """
+    counts = [F.sum(name).alias(name) for name in ("campaignsdeployed", "conversions")]
+    figure = F.col("figure")
+    spread = campaigns.withColumn("figure", F.explode(F.array(*[F.lit(name) for name in FIGURES])))
+    value = F.coalesce(*[F.when(figure == name, F.col(name)) for name in FIGURES])
+    # a campaign counts in the row of one figure only
+    stacked = spread.select(
+        "date", *labels, "figure", value.alias("value"),
+        ((figure == FIGURES[0]) & F.col("is_counted")).cast("int").alias("campaignsdeployed"),
+        ((figure == "conversion_1") & F.col("conversion_1").isNotNull()).cast("int").alias("conversions"),
+    )
+    rows = exact.with_parts(exact.with_bin(stacked, "value"), "value")
+    partial = rows.groupBy("date", *labels, "figure", "value_bin").agg(*counts, *exact.summed("value"))
+    if labels:
+        sets = [F.collect_set(name).alias(name) for name in labels]
+        partial = partial.groupBy("date", "figure", "value_bin").agg(*counts, *exact.summed("value"), *sets)
+    sums = [column for name in FIGURES for column in exact.group_sums(name, "value", f"figure = '{name}'")]
+    lists = [F.array_distinct(F.flatten(F.collect_list(name))).alias(name) for name in labels]
+    return exact.finish(partial.groupBy("date").agg(*counts, *sums, *lists), *FIGURES)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from daybook.config import Config
+from daybook.functions import exact
 from daybook.functions.dates import month_and_day
 
 
@@ -22,10 +23,31 @@ def card_days(transactions: DataFrame, cfg: Config) -> DataFrame:
 
     A row whose channel is unknown counts neither as the focus channel nor as ``elsewhere``.
     """
+    return _per_card_day(transactions, cfg, [], [F.sum("amount").alias("amount")])
+
+
+def card_days_in_parts(transactions: DataFrame, cfg: Config) -> DataFrame:
+    """As ``card_days``, with the amounts as parts of order-free sums (``functions.exact``).
+
+    The row of ``amount_bin`` 0 has the facts of the card and day. Amounts far beyond the usual sizes have rows of
+    their own in other bins, which carry these amounts and nothing else.
+    """
+    usual, main = F.col("amount_bin") == 0, F.col("is_main")
+    one, two = F.array(F.lit(True)), F.array(F.lit(True), F.lit(False))
+    rows = exact.with_bin(transactions, "amount").withColumn("is_main", F.explode(F.when(usual, one).otherwise(two)))
+    apart = rows.withColumns({
+        "amount": F.when(usual | ~main, F.col("amount")),
+        "amount_bin": F.when(main, 0).otherwise(F.col("amount_bin")),
+        "channel": F.when(main, F.col("channel")),
+    })
+    return _per_card_day(exact.with_parts(apart, "amount"), cfg, ["amount_bin"], exact.summed("amount"))
+
+
+def _per_card_day(transactions: DataFrame, cfg: Config, keys: list[str], sums: list[Column]) -> DataFrame:
     channel = F.col("channel")
     in_focus = channel == cfg.focus_channel
-    return transactions.groupBy("card_no", F.col("invoice_date").alias("date")).agg(
-        F.sum("amount").alias("amount"),
+    return transactions.groupBy("card_no", F.col("invoice_date").alias("date"), *keys).agg(
+        *sums,
         _any(in_focus).alias("in_focus"),
         _any(channel != cfg.focus_channel).alias("elsewhere"),
         _any(in_focus & F.col("category").contains(cfg.category_keyword)).alias("keyword_in_focus"),

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from daybook.config import Config
+from daybook.functions import exact
 from daybook.functions.dates import first_after
 from daybook.operators.activity import activity_by_day, first_focus_reasons
 from daybook.operators.base import base_on
@@ -120,8 +121,11 @@ def repeat_customer_sales(tables: Tables, cfg: Config) -> DataFrame:
 
 def transacted_sales(tables: Tables, cfg: Config) -> DataFrame:
     """All amount of the day with a card."""
-    total = F.sum("amount").cast("double").alias("transactedcustomersales")
-    return _purchases(tables).filter(F.col("amount").isNotNull()).groupBy("date").agg(total)
+    name = "transactedcustomersales"
+    amounts = _purchases(tables).filter(F.col("amount").isNotNull()).select("date", F.col("amount").alias(name))
+    if cfg.exact_amounts:
+        return exact.sum_by(amounts, ["date"], name)
+    return amounts.groupBy("date").agg(F.sum(name).cast("double").alias(name))
 
 
 def birthday_customers(tables: Tables, cfg: Config) -> DataFrame:
