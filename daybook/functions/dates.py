@@ -85,3 +85,16 @@ def month_key(day: Column, cfg: Config) -> Column:
     if cfg.literal:
         return F.concat(F.year(day).cast("string"), F.lit("-"), F.month(day).cast("string"))
     return F.trunc(day, "month")
+
+
+def first_event_from(event: str, start: str) -> str:
+    """SQL: the first day on or after ``start`` on which a yearly event (see ``month_and_day``) falls; 29 February falls in
+    leap years only, which are at most eight years apart."""
+    year, month, day = f"year({start})", f"month({event})", f"day({event})"
+    leap = "y % 4 = 0 AND (y % 100 <> 0 OR y % 400 = 0)"
+    this = f"make_date({year}, {month}, {day})"
+    leap_days = f"transform(filter(sequence({year}, {year} + 8), y -> {leap}), y -> make_date(y, 2, 29))"
+    return (
+        f"CASE WHEN {month} = 2 AND {day} = 29 THEN array_min(filter({leap_days}, d -> d >= {start})) "
+        f"WHEN {this} >= {start} THEN {this} ELSE make_date({year} + 1, {month}, {day}) END"
+    )

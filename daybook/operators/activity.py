@@ -16,7 +16,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from daybook.config import Config
 from daybook.functions import exact
 from daybook.functions.dates import first_after, near_event
-from daybook.operators.cards import card_days, card_days_in_parts, member_cards, with_history
+from daybook.operators.cards import (
+    ENROLLED, EVENTS, card_days, card_days_in_parts, member_cards, member_cards_with_days, with_history,
+)
 from daybook.operators.population import clamp_entry
 from daybook.sources.tables import Tables
 
@@ -30,11 +32,14 @@ MEMBER = (
 )
 STATE = ("membersarchived", "dormantcustomers", "lowpointbalancecustomers")
 ALL = SALES + MEMBER + STATE
+# Measures that need members only; here they come out of the same pass over them.
+ON_MEMBER_DAYS = (ENROLLED, *EVENTS)
 
 _AMOUNTS = {name for name in ALL if name.endswith("sales")}
 
 # Name of the column that marks the days on which the calendar may end.
 FOCUS_DAY = "is_focus_day"
+ENROLLMENT_DAY = "is_enrollment_day"
 
 # What a row speaks for: a card's purchases on its own day, purchases without a card, or (under the
 # name of a state measure) the day on which a card enters a state.
@@ -110,16 +115,17 @@ def _day_measure(name: str, in_parts: bool) -> list[Column]:
     if name in measures:
         measure = measures[name]()
         return measure if isinstance(measure, list) else [measure.alias(name)]
-    if name in STATE:
+    if name in STATE + ON_MEMBER_DAYS:
         return [F.sum(F.when(F.col("kind") == name, F.col("cards"))).alias(name)]
     return [F.sum(F.when(is_purchase, F.col(name))).alias(name)]
 
 
 def activity_by_day(tables: Tables, cfg: Config, measures: Iterable[str] = ALL) -> DataFrame:
-    """One row per day with the asked measures and ``is_focus_day``.
+    """One row per day with the asked measures, ``is_focus_day`` and, with measures of member days, ``is_enrollment_day``.
 
     State measures hold the number of cards that enter the state on the day, with entries before
-    the calendar moved to its first day. Days before the calendar are still in the result.
+    the calendar moved to its first day. Measures of yearly events hold the number of cards that count on the day and on
+    every later one of the same month and day. Days before the calendar are still in the result.
     """
     asked = list(measures)
     states = [name for name in STATE if name in asked]
@@ -129,10 +135,11 @@ def activity_by_day(tables: Tables, cfg: Config, measures: Iterable[str] = ALL)
     # of a card and day only one row counts; rows of cards without purchases have no bin
     counts = F.coalesce(F.col("amount_bin"), F.lit(0)) == 0 if in_parts else F.lit(True)
     bins, sums = (["amount_bin"], exact.summed("amount")) if in_parts else ([], [F.sum("amount").alias("amount")])
-    if set(asked) & set(MEMBER + STATE):
-        # Members without purchases matter to the state measures only.
-        how = "full" if states else "left"
-        rows = rows.join(member_cards(tables.members, cfg), "card_no", how)
+    member_days = bool(set(asked) & set(ON_MEMBER_DAYS))
+    if set(asked) & set(MEMBER + STATE) or member_days:
+        # Members without purchases matter to the measures of states and of member days only.
+        how = "full" if states or member_days else "left"
+        rows = rows.join((member_cards_with_days if member_days else member_cards)(tables.members, cfg), "card_no", how)
 
     # Every row speaks for its own day; one row per card also speaks for the card's entry days.
     own_kind = F.when(F.col("card_no").isNull(), _NO_CARD).otherwise(_PURCHASE)
@@ -142,7 +149,10 @@ def activity_by_day(tables: Tables, cfg: Config, measures: Iterable[str] = ALL)
         for name in states
     ]
     speaks_for_card = F.col("date").isNull() | ((F.col("date") == F.col("first_day")) & counts)
-    spoken = F.when(speaks_for_card, F.array(own, *entries)).otherwise(F.array(own)) if entries else F.array(own)
+    said = F.array(own, *entries)
+    if member_days:
+        said = F.concat(said, F.coalesce(F.col("member_days"), F.array().cast("array<struct<kind:string,on:date>>")))
+    spoken = F.when(speaks_for_card, said).otherwise(F.array(own)) if entries or member_days else F.array(own)
     rows = rows.withColumns({name: _split(name, cfg) for name in splits}).select("*", F.inline(spoken))
 
     # One amount and one count per split, instead of a sum per measure over all rows: a day has at
@@ -159,7 +169,7 @@ def activity_by_day(tables: Tables, cfg: Config, measures: Iterable[str] = ALL)
         rows.filter(F.col("on").isNotNull())
         .groupBy("on", "kind", *splits, *bins)
         .agg(
-            F.count_if(counts).alias("cards"),
+            F.count_if(counts & ((F.col("kind") != ENROLLED) | F.col("card_no").isNotNull())).alias("cards"),
             *sums,
             F.bool_or(F.coalesce("in_focus", F.lit(False))).alias("in_focus"),
             *[column().alias(name) for name, column in flags.items() if name in asked],
@@ -167,7 +177,8 @@ def activity_by_day(tables: Tables, cfg: Config, measures: Iterable[str] = ALL)
     )
     is_focus_day = F.bool_or(F.col("in_focus") & F.col("kind").isin(_PURCHASE, _NO_CARD))
     per_day = per_split.groupBy(F.col("on").alias("date")).agg(
-        *[column for name in asked for column in _day_measure(name, in_parts)], is_focus_day.alias(FOCUS_DAY)
+        *[column for name in asked for column in _day_measure(name, in_parts)], is_focus_day.alias(FOCUS_DAY),
+        *([F.bool_or(F.col("kind") == ENROLLED).alias(ENROLLMENT_DAY)] if member_days else []),
     )
     if in_parts:
         per_day = exact.finish(per_day, *[name for name in asked if name in _AMOUNTS])

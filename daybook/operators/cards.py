@@ -11,7 +11,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from daybook.config import Config
 from daybook.functions import exact
-from daybook.functions.dates import month_and_day
+from daybook.functions.dates import first_event_from, month_and_day
+
+# Measure of the days of enrollment, and measures of yearly events.
+ENROLLED = "enrolledcustomercount"
+EVENTS = {"customerbirthdaysperday": "dob", "customeranniversariesperday": "anniversary"}
 
 
 def _any(condition: Column) -> Column:
@@ -78,11 +82,42 @@ def member_cards(members: DataFrame, cfg: Config) -> DataFrame:
 
     The two sets hold month and day only, so they have at most 366 entries each.
     """
+    return _per_member_card(members.filter(F.col("card_no").isNotNull()), cfg)
+
+
+def member_cards_with_days(members: DataFrame, cfg: Config) -> DataFrame:
+    """As ``member_cards``, with the days on which the card adds to a measure of its own: ``member_days`` lists
+    ``(kind, on)``, each day of enrollment and, for each yearly event, the first day on which it counts.
+
+    A card counts on every later day of the event as well, so the measure is a running total over the days of that month
+    and day. Rows without a card are one more row, which has nothing but their days of enrollment.
+    """
+    month = F.trunc("enrollment_date", "month")
+    since = {
+        kind: F.collect_set(F.when(F.col(event).isNotNull(), F.struct(month_and_day(F.col(event)).alias("on"), month.alias("since"))))
+        for kind, event in EVENTS.items()
+    }
+    known = F.col("card_no").isNotNull()
+    cards = _per_member_card(
+        members, cfg, [F.collect_set("enrollment_date").alias(ENROLLED), *[c.alias(kind) for kind, c in since.items()]]
+    )
+    start = f"greatest(array_min(transform(filter({{0}}, s -> s.on = e), s -> s.since)), DATE '{cfg.spine_start}')"
+    days = [f"transform({ENROLLED}, d -> named_struct('kind', '{ENROLLED}', 'on', d))"]
+    for kind in EVENTS:
+        first = first_event_from("e", start.format(kind))
+        distinct = f"array_distinct(transform({kind}, s -> s.on))"
+        days.append(f"transform({distinct}, e -> named_struct('kind', '{kind}', 'on', {first}))")
+    facts = {name: F.when(known, F.col(name)) for name in ("enrolled", "low_points_since", "holds_points")}
+    listed = F.when(known, F.expr(f"concat({', '.join(days)})")).otherwise(F.expr(days[0]))
+    return cards.withColumns({**facts, "member_days": listed}).drop(ENROLLED, *EVENTS)
+
+
+def _per_member_card(members: DataFrame, cfg: Config, more: list[Column] = ()) -> DataFrame:
     points = F.col("point_balance")
     return (
-        members.filter(F.col("card_no").isNotNull())
-        .groupBy("card_no")
+        members.groupBy("card_no")
         .agg(
+            *more,
             F.min("enrollment_date").alias("enrolled"),
             F.min(F.when(points < cfg.point_threshold, F.col("enrollment_date"))).alias("low_points_since"),
             _any(points > cfg.point_threshold).alias("holds_points"),

@@ -12,9 +12,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def running_total(name: str) -> Column:
-    """Sum of a per-day column up to each day; days without a value add nothing."""
-    so_far = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def running_total(name: str, *groups: Column) -> Column:
+    """Sum of a per-day column up to each day (of the same group); days without a value add nothing."""
+    so_far = Window.partitionBy(*groups).orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return F.sum(F.coalesce(F.col(name), F.lit(0))).over(so_far)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from daybook.config import Config
 from daybook.operators import activity, campaigns, members
 from daybook.operators.base import base_on
+from daybook.operators.cards import EVENTS
 from daybook.operators.population import running_total
 from daybook.operators.spine import calendarise, number_rows
 from daybook.sources.tables import Tables
@@ -35,29 +36,28 @@ def fill_defaults(frame: DataFrame) -> DataFrame:
 
 
 def daily(tables: Tables, cfg: Config) -> DataFrame:
-    """All 31 columns, lazily, with one scan of the transactions and one of the campaigns.
+    """All 31 columns, lazily, with one scan of each table.
 
     The parts are stacked and grouped by date instead of joined to a calendar one by one: the
     calendar's end depends on the transactions, and a separate calendar would read them again.
+    The literal results compare months as text, so that a card may stop counting on its birthdays: no running
+    total gives them, and the members are read for them apart.
     """
     start = tables.members.sparkSession.range(1).select(F.lit(cfg.spine_start).alias("date"))
-    parts = [
-        activity.activity_by_day(tables, cfg),
-        members.enrolled_by_day(tables.members).withColumn("is_enrollment_day", F.lit(True)),
-        campaigns.campaigns_by_day(tables.campaigns, cfg),
-        start,
-    ]
+    asked = activity.ALL if cfg.literal else activity.ALL + activity.ON_MEMBER_DAYS
+    parts = [activity.activity_by_day(tables, cfg, asked), campaigns.campaigns_by_day(tables.campaigns, cfg), start]
+    if cfg.literal:
+        parts.append(members.enrolled_by_day(tables.members).withColumn(activity.ENROLLMENT_DAY, F.lit(True)))
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     values = [name for name in stacked.columns if name != "date"]
     per_day = stacked.groupBy("date").agg(*[F.max(name).alias(name) for name in values])
 
-    calendar = calendarise(per_day, cfg.spine_start, F.col(activity.FOCUS_DAY) | F.col("is_enrollment_day"))
+    calendar = calendarise(per_day, cfg.spine_start, F.col(activity.FOCUS_DAY) | F.col(activity.ENROLLMENT_DAY))
     calendar = calendar.withColumns({name: running_total(name) for name in activity.STATE})
-    calendar = members.events_on_calendar(
-        calendar,
-        tables.members,
-        {"dob": "customerbirthdaysperday", "anniversary": "customeranniversariesperday"},
-        cfg,
-    )
+    if cfg.literal:
+        calendar = members.events_on_calendar(calendar, tables.members, {event: name for name, event in EVENTS.items()}, cfg)
+    else:
+        yearly = (F.month("date"), F.dayofmonth("date"))
+        calendar = calendar.withColumns({name: running_total(name, *yearly) for name in EVENTS})
     calendar = calendar.withColumn("previousmonthbase", base_on(F.col("date"), cfg))
     return number_rows(fill_defaults(calendar)).select(*COLUMNS)

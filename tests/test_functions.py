@@ -195,3 +195,16 @@ def test_config_checks_its_values():
     with pytest.raises(ValueError):
         replace(CONFIG, program_channels=())
     assert replace(CONFIG, focus_channel="STORE").focus_channel == "store"
+
+
+def test_first_event_from_a_day(spark):
+    """Against a walk over the calendar, around leap days and years without one."""
+    leap_year, day = 2000, dt.timedelta(days=1)
+    events = [dt.date(leap_year, m, d) for m, d in ((1, 1), (2, 28), (2, 29), (3, 1), (7, 15), (12, 31))]
+    starts = [dt.date(y, m, d) for y in (1895, 1899, 1996, 2023, 2024, 2096) for m, d in ((1, 1), (2, 28), (3, 1), (7, 15), (7, 16), (12, 31))]
+    rows = [(e, s) for e in events for s in [*starts, dt.date(2024, 2, 29)]]
+    frame = spark.createDataFrame(rows, "e date, s date").select("e", "s", F.expr(dates.first_event_from("e", "s")).alias("first"))
+    for event, start, first in frame.collect():
+        while (start.month, start.day) != (event.month, event.day):
+            start += day
+        assert first == start, (event, start, first)
