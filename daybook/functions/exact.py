@@ -7,7 +7,8 @@ limbs of all bins of a group become one number: carries are settled, and the num
 
     rows -> (bin, limbs) -> sums by group and bin -> one row of sums per group -> double
 
-A group and bin may hold 2^35 rows. Infinity and NaN are added up beside the limbs; with one of them the sum is theirs.
+A group and bin may hold 2^35 rows. Infinity and NaN are counted beside the limbs; with one of them the sum is theirs. All
+parts are whole numbers, so what was added can be taken away again without a trace.
 
 The expressions are SQL text: each has many terms, and building those one by one takes longer than most queries.
 """
@@ -23,8 +24,8 @@ STEP = 4
 LOWEST = -STEP * BITS
 SMALLEST, LARGEST = 2.0**-58, 2.0**53
 BASE = 1 << BITS
-#: Names of the columns of a sum: its limbs, and what is no finite number.
-PARTS = (*[f"limb_{i}" for i in range(LIMBS)], "special")
+#: Names of the columns of a sum: its limbs, and how many numbers are infinite (NaN counts as both infinities).
+PARTS = (*[f"limb_{i}" for i in range(LIMBS)], "above", "below")
 # More bits than a double has: what is cut off below them decides between neighbours only by being there or not.
 ENOUGH = 1 << 2 * BITS
 
@@ -66,8 +67,10 @@ def with_parts(rows: DataFrame, column: str) -> DataFrame:
     # in two steps, so that each is a short piece of generated code; one for many columns would be too long to compile
     moved = rows.selectExpr("*", f"{_shifted(column, f'{column}_bin')} AS {column}_shifted")
     limbs = [f"{_limb(f'{column}_shifted', i)} AS {column}_limb_{i}" for i in range(LIMBS)]
-    special = f"CASE WHEN {_infinite(column)} THEN {column} END AS {column}_special"
-    return moved.selectExpr("*", *limbs, special).drop(f"{column}_shifted")
+    infinite = [
+        f"bigint(isnan({column}) OR {column} = double('{sign}Infinity')) AS {column}_{name}" for name, sign in (("above", ""), ("below", "-"))
+    ]
+    return moved.selectExpr("*", *limbs, *infinite).drop(f"{column}_shifted")
 
 
 def summed(column: str) -> list[Column]:
@@ -95,7 +98,9 @@ def finish(rows: DataFrame, *names: str) -> DataFrame:
     rare = _totals(usual.selectExpr("*", f"CASE WHEN {' OR '.join(far)} THEN array({', '.join(lists)}) END AS _lists"))
     inner = {f"{name}_{part}" for name in names for part in (*PARTS, "far", "digits", "high", "middle", "usual")} | set(RARE)
     done = [
-        f"coalesce({name}_special, CASE WHEN size({name}_far) > 0 THEN get(_totals, {i}) ELSE {name}_usual END) AS {name}"
+        f"CASE WHEN {name}_above > 0 THEN CASE WHEN {name}_below > 0 THEN double('NaN') ELSE double('Infinity') END "
+        f"WHEN {name}_below > 0 THEN double('-Infinity') "
+        f"WHEN size({name}_far) > 0 THEN get(_totals, {i}) ELSE {name}_usual END AS {name}"
         for i, name in enumerate(names)
     ]
     return rare.selectExpr(*[f"`{c}`" for c in rare.columns if c not in inner], *done)

@@ -9,7 +9,7 @@ later (see ``operators.population``). Only the parts that the asked measures nee
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -128,10 +128,18 @@ def activity_by_day(tables: Tables, cfg: Config, measures: Iterable[str] = ALL)
     every later one of the same month and day. Days before the calendar are still in the result.
     """
     asked = list(measures)
+    in_parts = cfg.exact_amounts and bool(set(asked) & _AMOUNTS)
+    days = (card_days_in_parts if in_parts else card_days)(tables.transactions, cfg)
+    return by_day(contributions(days, lambda: tables.members, cfg, asked, in_parts), asked, in_parts)
+
+
+def contributions(
+    days: DataFrame, members: Callable[[], DataFrame], cfg: Config, asked: list[str], in_parts: bool
+) -> DataFrame:
+    """What the cards add to each day, by split: numbers that add up over any sets of cards."""
     states = [name for name in STATE if name in asked]
     splits = [name for name, users in _SPLITS.items() if users & set(asked)]
-    in_parts = cfg.exact_amounts and bool(set(asked) & _AMOUNTS)
-    rows = with_history((card_days_in_parts if in_parts else card_days)(tables.transactions, cfg))
+    rows = with_history(days)
     # of a card and day only one row counts; rows of cards without purchases have no bin
     counts = F.coalesce(F.col("amount_bin"), F.lit(0)) == 0 if in_parts else F.lit(True)
     bins, sums = (["amount_bin"], exact.summed("amount")) if in_parts else ([], [F.sum("amount").alias("amount")])
@@ -139,7 +147,7 @@ def activity_by_day(tables: Tables, cfg: Config, measures: Iterable[str] = ALL)
     if set(asked) & set(MEMBER + STATE) or member_days:
         # Members without purchases matter to the measures of states and of member days only.
         how = "full" if states or member_days else "left"
-        rows = rows.join((member_cards_with_days if member_days else member_cards)(tables.members, cfg), "card_no", how)
+        rows = rows.join((member_cards_with_days if member_days else member_cards)(members(), cfg), "card_no", how)
 
     # Every row speaks for its own day; one row per card also speaks for the card's entry days.
     own_kind = F.when(F.col("card_no").isNull(), _NO_CARD).otherwise(_PURCHASE)
@@ -165,17 +173,22 @@ def activity_by_day(tables: Tables, cfg: Config, measures: Iterable[str] = ALL)
         "diamondenthusiasts": lambda: F.count_if(F.col("keyword_in_focus") & is_member),
         "activecustomers": lambda: F.count_if(F.col("spent_in_program") & (F.col("date") >= F.col("enrolled"))),
     }
-    per_split = (
+    return (
         rows.filter(F.col("on").isNotNull())
         .groupBy("on", "kind", *splits, *bins)
         .agg(
             F.count_if(counts & ((F.col("kind") != ENROLLED) | F.col("card_no").isNotNull())).alias("cards"),
             *sums,
-            F.bool_or(F.coalesce("in_focus", F.lit(False))).alias("in_focus"),
+            F.count_if("in_focus").alias("focus_rows"),
             *[column().alias(name) for name, column in flags.items() if name in asked],
         )
     )
-    is_focus_day = F.bool_or(F.col("in_focus") & F.col("kind").isin(_PURCHASE, _NO_CARD))
+
+
+def by_day(per_split: DataFrame, asked: list[str], in_parts: bool) -> DataFrame:
+    """``contributions`` added up per day; see ``activity_by_day``."""
+    member_days = bool(set(asked) & set(ON_MEMBER_DAYS))
+    is_focus_day = F.bool_or((F.col("focus_rows") > 0) & F.col("kind").isin(_PURCHASE, _NO_CARD))
     per_day = per_split.groupBy(F.col("on").alias("date")).agg(
         *[column for name in asked for column in _day_measure(name, in_parts)], is_focus_day.alias(FOCUS_DAY),
         *([F.bool_or(F.col("kind") == ENROLLED).alias(ENROLLMENT_DAY)] if member_days else []),

@@ -36,6 +36,11 @@ def card_days_in_parts(transactions: DataFrame, cfg: Config) -> DataFrame:
     The row of ``amount_bin`` 0 has the facts of the card and day. Amounts far beyond the usual sizes have rows of
     their own in other bins, which carry these amounts and nothing else.
     """
+    return _per_card_day(_apart(transactions), cfg, ["amount_bin"], exact.summed("amount"))
+
+
+def _apart(transactions: DataFrame) -> DataFrame:
+    """The rows with the parts of their amounts; a row with an amount in another bin than 0 is two, see above."""
     usual, main = F.col("amount_bin") == 0, F.col("is_main")
     one, two = F.array(F.lit(True)), F.array(F.lit(True), F.lit(False))
     rows = exact.with_bin(transactions, "amount").withColumn("is_main", F.explode(F.when(usual, one).otherwise(two)))
@@ -44,20 +49,43 @@ def card_days_in_parts(transactions: DataFrame, cfg: Config) -> DataFrame:
         "amount_bin": F.when(main, 0).otherwise(F.col("amount_bin")),
         "channel": F.when(main, F.col("channel")),
     })
-    return _per_card_day(exact.with_parts(apart, "amount"), cfg, ["amount_bin"], exact.summed("amount"))
+    return exact.with_parts(apart, "amount")
 
 
-def _per_card_day(transactions: DataFrame, cfg: Config, keys: list[str], sums: list[Column]) -> DataFrame:
+def _facts(cfg: Config) -> dict[str, Column]:
+    """What kind of purchase a row is."""
     channel = F.col("channel")
     in_focus = channel == cfg.focus_channel
-    return transactions.groupBy("card_no", F.col("invoice_date").alias("date"), *keys).agg(
-        *sums,
-        _any(in_focus).alias("in_focus"),
-        _any(channel != cfg.focus_channel).alias("elsewhere"),
-        _any(in_focus & F.col("category").contains(cfg.category_keyword)).alias("keyword_in_focus"),
-        _any(in_focus & F.col("is_nonzero")).alias("spent_in_focus"),
-        _any(channel.isin(*cfg.program_channels) & F.col("is_nonzero")).alias("spent_in_program"),
-    )
+    return {
+        "in_focus": in_focus,
+        "elsewhere": channel != cfg.focus_channel,
+        "keyword_in_focus": in_focus & F.col("category").contains(cfg.category_keyword),
+        "spent_in_focus": in_focus & F.col("is_nonzero"),
+        "spent_in_program": channel.isin(*cfg.program_channels) & F.col("is_nonzero"),
+    }
+
+
+def _per_card_day(transactions: DataFrame, cfg: Config, keys: list[str], sums: list[Column]) -> DataFrame:
+    facts = [_any(condition).alias(name) for name, condition in _facts(cfg).items()]
+    return transactions.groupBy("card_no", F.col("invoice_date").alias("date"), *keys).agg(*sums, *facts)
+
+
+def card_day_changes(transactions: DataFrame, cfg: Config, change: str) -> DataFrame:
+    """As ``card_days_in_parts``, but counts instead of facts, so that changes add up: ``change`` is 1 for a row that comes and
+    -1 for one that goes. ``rows`` counts a day's purchases, in other bins than 0 its amounts."""
+    sign = F.col(change).cast("long")
+    rows = _apart(transactions)
+    parts = [F.sum(F.col(f"amount_{part}") * sign).alias(f"amount_{part}") for part in exact.PARTS]
+    facts = [F.sum(F.when(condition, sign).otherwise(0)).alias(name) for name, condition in _facts(cfg).items()]
+    return rows.groupBy("card_no", F.col("invoice_date").alias("date"), "amount_bin").agg(F.sum(sign).alias("rows"), *parts, *facts)
+
+
+def card_days_of_changes(changes: DataFrame, cfg: Config) -> DataFrame:
+    """The card-days that a pile of changes amounts to."""
+    counts = [name for name in changes.columns if name not in ("card_no", "date", "amount_bin")]
+    added = changes.groupBy("card_no", "date", "amount_bin").agg(*[F.sum(name).alias(name) for name in counts])
+    facts = {name: F.col(name) > 0 for name in _facts(cfg)}
+    return added.where("rows <> 0").withColumns(facts).drop("rows")
 
 
 def with_history(days: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -43,11 +44,21 @@ def daily(tables: Tables, cfg: Config) -> DataFrame:
     The literal results compare months as text, so that a card may stop counting on its birthdays: no running
     total gives them, and the members are read for them apart.
     """
-    start = tables.members.sparkSession.range(1).select(F.lit(cfg.spine_start).alias("date"))
-    asked = activity.ALL if cfg.literal else activity.ALL + activity.ON_MEMBER_DAYS
-    parts = [activity.activity_by_day(tables, cfg, asked), campaigns.campaigns_by_day(tables.campaigns, cfg), start]
+    parts = [activity.activity_by_day(tables, cfg, measures(cfg)), campaigns.campaigns_by_day(tables.campaigns, cfg)]
     if cfg.literal:
         parts.append(members.enrolled_by_day(tables.members).withColumn(activity.ENROLLMENT_DAY, F.lit(True)))
+    return consolidated(parts, lambda: tables.members, cfg)
+
+
+def measures(cfg: Config) -> tuple[str, ...]:
+    """The measures that one pass over purchases and members gives."""
+    return activity.ALL if cfg.literal else activity.ALL + activity.ON_MEMBER_DAYS
+
+
+def consolidated(parts: list[DataFrame], raw_members: Callable[[], DataFrame], cfg: Config) -> DataFrame:
+    """The frame from its parts, which have at most one row per day each."""
+    start = parts[0].sparkSession.range(1).select(F.lit(cfg.spine_start).alias("date"))
+    parts = [*parts, start]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     values = [name for name in stacked.columns if name != "date"]
     per_day = stacked.groupBy("date").agg(*[F.max(name).alias(name) for name in values])
@@ -55,7 +66,7 @@ def daily(tables: Tables, cfg: Config) -> DataFrame:
     calendar = calendarise(per_day, cfg.spine_start, F.col(activity.FOCUS_DAY) | F.col(activity.ENROLLMENT_DAY))
     calendar = calendar.withColumns({name: running_total(name) for name in activity.STATE})
     if cfg.literal:
-        calendar = members.events_on_calendar(calendar, tables.members, {event: name for name, event in EVENTS.items()}, cfg)
+        calendar = members.events_on_calendar(calendar, raw_members(), {event: name for name, event in EVENTS.items()}, cfg)
     else:
         yearly = (F.month("date"), F.dayofmonth("date"))
         calendar = calendar.withColumns({name: running_total(name, *yearly) for name in EVENTS})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
@@ -51,8 +51,9 @@ def _column(raw: DataFrame, name: str):
     return F.col(f"`{name}`"), raw.schema[name].dataType
 
 
-def clean_members(raw: DataFrame, cfg: Config) -> DataFrame:
-    """Members of the program's channels with a readable enrollment date. A card may be null."""
+def clean_members(raw: DataFrame, cfg: Config, keep: Sequence[str] = ()) -> DataFrame:
+    """Members of the program's channels with a readable enrollment date. A card may be null. ``keep`` names columns
+    to hand on as they are."""
     names = cfg.member_columns
     card, card_type = _column(raw, names["card_no"])
     balance, balance_type = _column(raw, names["point_balance"])
@@ -64,13 +65,14 @@ def clean_members(raw: DataFrame, cfg: Config) -> DataFrame:
             dates.to_day(F.col(f"`{names['dob']}`")).alias("dob"),
             dates.to_day(F.col(f"`{names['anniversary']}`")).alias("anniversary"),
             numbers.points(balance, balance_type, cfg).alias("point_balance"),
+            *keep,
         )
         .filter(F.col("channel").isin(*cfg.program_channels))
         .filter(F.col("enrollment_date").isNotNull())
     )
 
 
-def clean_transactions(raw: DataFrame, cfg: Config) -> DataFrame:
+def clean_transactions(raw: DataFrame, cfg: Config, keep: Sequence[str] = ()) -> DataFrame:
     """Transactions with a readable date; channel and category in lower case, so that filters on written copies
     compare plain columns and reach the parquet scan.
 
@@ -86,10 +88,11 @@ def clean_transactions(raw: DataFrame, cfg: Config) -> DataFrame:
         F.lower(f"`{names['category']}`").alias("category"),
         numbers.amount(amount, amount_type, cfg).alias("amount"),
         numbers.amount_is_nonzero(amount, amount_type, cfg).alias("is_nonzero"),
+        *keep,
     ).filter(F.col("invoice_date").isNotNull())
 
 
-def clean_campaigns(raw: DataFrame, cfg: Config) -> DataFrame:
+def clean_campaigns(raw: DataFrame, cfg: Config, keep: Sequence[str] = ()) -> DataFrame:
     """Campaigns with a readable deployment date."""
     names = cfg.campaign_columns
     deployed, deployed_type = _column(raw, names["deployment_date"])
@@ -120,4 +123,5 @@ def clean_campaigns(raw: DataFrame, cfg: Config) -> DataFrame:
         label("channel"),
         label("brand"),
         label("region"),
+        *keep,
     ).filter(F.col("deploy_date").isNotNull())

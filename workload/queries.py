@@ -15,6 +15,7 @@ from daybook.operators.population import population_by_day
 from daybook.operators.spine import date_spine, spine_bounds
 from daybook.plans.daily import COLUMNS
 from daybook.plans.jobs import clean_job, csv_job, daily_job, read_clean, snapshot_job, standardise, text_parquet_job
+from daybook.plans.refresh import CHANGE, DailyState
 from daybook.sources.readers import read_csv_export, read_files, read_table
 from daybook.sources.schemas import (
     CAMPAIGN_DDL,
@@ -237,6 +238,42 @@ def written_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(read_files(spark, path))
 
 
+# Cells that are wrong at first, per raw table.
+WRONG = {
+    "members": {"enrollment_date": "1995-01-02", "point_balance": "7", "dob": "1972-02-29"},
+    "transactions": {"eligible_amt": "1e30", "channel": "Store", "invoice_date": "1996-03-05"},
+    "campaigns": {"incremental_rev": "10000000000000000000000.5", "brand": "brand to go", "deployment_date": "1998-05-05"},
+}
+
+
+def changes(raw: DataFrame, wrong: dict[str, str]) -> list[DataFrame]:
+    """Four loads that amount to the raw table: most rows, some of them wrong and some that do not belong; late rows;
+    corrections; more late rows and the withdrawal of what does not belong."""
+    part = F.pmod(F.xxhash64(*raw.columns), F.lit(8))
+    spoilt = {name: F.lit(text) for name, text in wrong.items()}
+
+    def rows(condition, change: int, is_wrong: bool = False) -> DataFrame:
+        some = raw.where(condition)
+        return (some.withColumns(spoilt) if is_wrong else some).withColumn(CHANGE, F.lit(change))
+
+    strangers = part == 0
+    return [
+        rows(part < 5, 1).union(rows(part == 5, 1, True)).union(rows(strangers, 1, True)),
+        rows(part == 6, 1),
+        rows(part == 5, -1, True).union(rows(part == 5, 1)),
+        rows(part == 7, 1).union(rows(strangers, -1, True)),
+    ]
+
+
+def refreshed_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily frame of a state after a first load and three loads of late and corrected rows."""
+    state = DailyState(spark, scratch(spark, "state"), CONFIG)
+    loads = [changes(raw, wrong) for raw, wrong in zip(_raw_tables(spark, sf_dir), WRONG.values())]
+    for number, (members, transactions, campaigns) in enumerate(zip(*loads)):
+        state.refresh(members, transactions, campaigns, number)
+    return _rounded(state.frame())
+
+
 def written_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A measure from written clean tables, the transactions in months."""
     path = scratch(spark, "clean")
@@ -391,6 +428,7 @@ QUERIES: dict[str, tuple[Query, str]] = {
     "q_conform_campaigns": (conform_campaigns, CONFORM_CAMPAIGNS_SQL),
     "q_catalog_read": (catalog_read, CATALOG_SQL),
     "q_daily_job": (written_daily, oracles.daily(COLUMNS, DIGITS, literal=False)),
+    "q_daily_refresh": (refreshed_daily, oracles.daily(COLUMNS, DIGITS, literal=False)),
     "q_clean_job": (written_clean, _measure_sql("dormantcustomers")),
     "q_text_parquet": (text_parquet, HEADER_SQL),
     "q_near_across_years": (near_across_years, _near_sql()),
