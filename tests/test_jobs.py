@@ -137,3 +137,29 @@ def test_conform(spark):
     assert rows(picked) == [
         (7, dt.date(2024, 1, 5), Decimal("12.3457"), None, None), (None, None, None, 3, None),
     ]
+
+
+def test_csv_headers_of_many_files_come_from_one_scan(spark, tmp_path):
+    """1,000 files of 5 column orders: at most two Spark jobs to plan the read, and one scan in the plan."""
+    orders = ["a,b,c", "c,b,a", "b,a,c", "a,c", "c,a,b,d"]
+    for i in range(1000):
+        names = orders[i % 5].split(",")
+        (tmp_path / f"part{i}.csv").write_text(",".join(names) + "\n" + ",".join(f"{name}{i}" for name in names) + "\n")
+    spark.sparkContext.setJobGroup("headers", "headers")
+    frame = read_csv_export(spark, str(tmp_path))
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("headers")) <= 2
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert frame._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+    expected = {
+        tuple(f"{name}{i}" if name in orders[i % 5].split(",") else None for name in "abcd") for i in range(1000)
+    }
+    assert set(map(tuple, frame.select(*"abcd").collect())) == expected
+
+
+def test_csv_headers_with_line_breaks_and_marks(spark, tmp_path):
+    (tmp_path / "one.csv").write_text('﻿key,"first ""name""\nof all",x\n1,"a\nb",2\n', encoding="utf-8")
+    (tmp_path / "two.csv").write_text('x,key\n"5",6\n')
+    (tmp_path / "none.csv").write_text("")
+    frame = read_csv_export(spark, str(tmp_path), multiLine="true")
+    assert sorted(frame.columns) == ["first_nameof_all", "key", "x"]
+    assert set(map(tuple, frame.select("key", "first_nameof_all", "x").collect())) == {("1", "a\nb", "2"), ("6", None, "5")}
