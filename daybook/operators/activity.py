@@ -128,15 +128,27 @@ def activity_by_day(tables: Tables, cfg: Config, measures: Iterable[str] = ALL)
     every later one of the same month and day. Days before the calendar are still in the result.
     """
     asked = list(measures)
-    in_parts = cfg.exact_amounts and bool(set(asked) & _AMOUNTS)
-    days = (card_days_in_parts if in_parts else card_days)(tables.transactions, cfg)
-    return by_day(contributions(days, lambda: tables.members, cfg, asked, in_parts), asked, in_parts)
+    if tables.card_days is not None:
+        in_parts, days = cfg.exact_amounts, tables.card_days
+    else:
+        in_parts = cfg.exact_amounts and bool(set(asked) & _AMOUNTS)
+        days = (card_days_in_parts if in_parts else card_days)(tables.transactions, cfg)
+
+    def cards(with_days: bool) -> DataFrame:
+        if tables.cards is not None:
+            return tables.cards if with_days else tables.cards.where("card_no IS NOT NULL").drop("member_days")
+        return (member_cards_with_days if with_days else member_cards)(tables.members, cfg)
+
+    return by_day(contributions(days, cards, cfg, asked, in_parts), asked, in_parts)
 
 
 def contributions(
-    days: DataFrame, members: Callable[[], DataFrame], cfg: Config, asked: list[str], in_parts: bool
+    days: DataFrame, cards: Callable[[bool], DataFrame], cfg: Config, asked: list[str], in_parts: bool
 ) -> DataFrame:
-    """What the cards add to each day, by split: numbers that add up over any sets of cards."""
+    """What the cards add to each day, by split: numbers that add up over any sets of cards.
+
+    ``cards`` gives the member cards, with their member days or without.
+    """
     states = [name for name in STATE if name in asked]
     splits = [name for name, users in _SPLITS.items() if users & set(asked)]
     rows = with_history(days)
@@ -147,7 +159,7 @@ def contributions(
     if set(asked) & set(MEMBER + STATE) or member_days:
         # Members without purchases matter to the measures of states and of member days only.
         how = "full" if states or member_days else "left"
-        rows = rows.join((member_cards_with_days if member_days else member_cards)(members(), cfg), "card_no", how)
+        rows = rows.join(cards(member_days), "card_no", how)
 
     # Every row speaks for its own day; one row per card also speaks for the card's entry days.
     own_kind = F.when(F.col("card_no").isNull(), _NO_CARD).otherwise(_PURCHASE)
@@ -193,6 +205,7 @@ def by_day(per_split: DataFrame, asked: list[str], in_parts: bool) -> DataFrame:
         *[column for name in asked for column in _day_measure(name, in_parts)], is_focus_day.alias(FOCUS_DAY),
         *([F.bool_or(F.col("kind") == ENROLLED).alias(ENROLLMENT_DAY)] if member_days else []),
     )
-    if in_parts:
-        per_day = exact.finish(per_day, *[name for name in asked if name in _AMOUNTS])
+    amounts = [name for name in asked if name in _AMOUNTS]
+    if in_parts and amounts:
+        per_day = exact.finish(per_day, *amounts)
     return per_day.fillna(0, subset=[name for name in asked if name not in _AMOUNTS])

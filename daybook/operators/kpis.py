@@ -94,7 +94,8 @@ def _state_per_card(
 
 def new_customers(tables: Tables, cfg: Config) -> DataFrame:
     """Cards whose first purchase ever is on the day."""
-    first_days = _purchases(tables).groupBy("card_no").agg(F.min("date").alias("date"))
+    rows = _purchases(tables) if tables.card_days is None else tables.card_days.where("card_no IS NOT NULL")
+    first_days = rows.groupBy("card_no").agg(F.min("date").alias("date"))
     return _count_rows(first_days, "newcustomercount")
 
 
@@ -217,6 +218,8 @@ def low_point_balance_customers(tables: Tables, cfg: Config) -> DataFrame:
 
 def active_customers(tables: Tables, cfg: Config) -> DataFrame:
     """Member cards with a purchase with an amount in a program channel, on or after enrollment."""
+    if tables.card_days is not None:
+        return _count(tables, cfg, "activecustomers")
     in_program = F.col("channel").isin(*cfg.program_channels)
     bought = _purchases(tables).filter(in_program & F.col("is_nonzero")).select("card_no", "date").distinct()
     active = bought.join(_enrolled_cards(tables), "card_no").filter(F.col("date") >= F.col("enrolled"))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daybook.config import Config
 from daybook.operators import activity, campaigns
-from daybook.operators.cards import card_day_changes, card_days_of_changes
+from daybook.operators.cards import card_day_changes, card_days_of_changes, member_cards_with_days
 from daybook.plans.daily import consolidated, measures
 from daybook.sources.tables import clean_campaigns, clean_members, clean_transactions
 
@@ -80,9 +80,8 @@ class DailyState:
         if below == 0:
             return None
         days = card_days_of_changes(_of(self._read("purchases", below), touched), self.cfg)
-        return activity.contributions(
-            days, lambda: self._members(below, touched), self.cfg, list(measures(self.cfg)), in_parts=True
-        )
+        cards = member_cards_with_days(self._members(below, touched), self.cfg)
+        return activity.contributions(days, lambda with_days: cards, self.cfg, list(measures(self.cfg)), in_parts=True)
 
     def _members(self, below: int | None = None, touched: DataFrame | None = None) -> DataFrame:
         rows = self._read("members", below)

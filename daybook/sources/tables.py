@@ -19,6 +19,10 @@ class Tables:
     A raw table may be given as a function, which is called when a measure first needs the table.
     """
 
+    #: Purchases by card and day, and one row per member card, where they are stored by card (``plans.clustered``).
+    card_days: DataFrame | None = None
+    cards: DataFrame | None = None
+
     def __init__(self, members: RawTable, transactions: RawTable, campaigns: RawTable, cfg: Config) -> None:
         self._members, self._transactions, self._campaigns = members, transactions, campaigns
         self._cfg = cfg

@@ -7,8 +7,11 @@ from dataclasses import replace
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from daybook import Tables, daily
 from daybook.operators import kpis
+from daybook.plans.clustered import cluster_job, read_clustered
 from daybook.plans.jobs import clean_job, read_clean
 from tests import small
 from workload import inputs
@@ -147,3 +150,27 @@ def test_nothing_is_read_before_it_is_needed(spark):
     tables = Tables(fail, lambda: small.raw(spark)[1], fail, small.CONFIG)
     kpis.new_customers(tables, small.CONFIG)
     assert inputs.CONFIG.focus_channel == "store"
+
+
+@pytest.fixture(scope="module")
+def clustered(spark, stored, tmp_path_factory):
+    cluster_job(stored, small.CONFIG, "plans", str(tmp_path_factory.mktemp("clustered")), buckets=4)
+    return read_clustered(spark, stored, "plans")
+
+
+@pytest.mark.parametrize("measure", [
+    kpis.new_customers, kpis.repeat_customers, kpis.birthday_customers, kpis.active_customers, kpis.repeat_customer_sales, daily,
+])
+def test_tables_stored_by_card_are_not_shuffled_by_card(stored, clustered, measure):
+    plan = plan_of(measure(clustered, small.CONFIG), "simple")
+    assert "hashpartitioning(card_no" not in plan
+    assert sorted(map(repr, measure(clustered, small.CONFIG).collect())) == sorted(map(repr, measure(stored, small.CONFIG).collect()))
+
+
+def test_a_hot_card_has_a_row_per_day_in_its_bucket(spark, tmp_path):
+    members, transactions, campaigns = small.raw(spark)
+    one = transactions.where("invoice_date IS NOT NULL").limit(1).withColumns({"card_no": F.lit("hot"), "invoice_date": F.lit("2024-02-03")})
+    many = transactions.union(one.select(*transactions.columns).withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(5000)))).drop("i"))
+    tables = Tables(members, many, campaigns, small.CONFIG)
+    cluster_job(tables, small.CONFIG, "hot", str(tmp_path), buckets=4)
+    assert read_clustered(spark, tables, "hot").card_days.where("card_no = 'hot'").count() == 1

@@ -13,6 +13,7 @@ from daybook.operators import kpis
 from daybook.operators.cards import card_days
 from daybook.operators.population import population_by_day
 from daybook.operators.spine import date_spine, spine_bounds
+from daybook.plans.clustered import cluster_job, read_clustered
 from daybook.plans.daily import COLUMNS
 from daybook.plans.jobs import clean_job, csv_job, daily_job, read_clean, snapshot_job, standardise, text_parquet_job
 from daybook.plans.refresh import CHANGE, DailyState
@@ -281,6 +282,14 @@ def written_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpis.dormant_customers(read_clean(spark, path), CONFIG)
 
 
+def clustered_active(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Active customers from tables stored by card."""
+    path, source = scratch(spark, "clustered"), tables(spark, sf_dir)
+    name = f"daybook_{path.rsplit('-', 1)[-1]}"
+    cluster_job(source, CONFIG, name, path, buckets=8)
+    return kpis.active_customers(read_clustered(spark, source, name), CONFIG)
+
+
 def text_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customer table under spreadsheet headers, written as text parquet and read back."""
     path = scratch(spark, "text")
@@ -429,6 +438,7 @@ QUERIES: dict[str, tuple[Query, str]] = {
     "q_catalog_read": (catalog_read, CATALOG_SQL),
     "q_daily_job": (written_daily, oracles.daily(COLUMNS, DIGITS, literal=False)),
     "q_daily_refresh": (refreshed_daily, oracles.daily(COLUMNS, DIGITS, literal=False)),
+    "q_clustered_active": (clustered_active, _measure_sql("activecustomers")),
     "q_clean_job": (written_clean, _measure_sql("dormantcustomers")),
     "q_text_parquet": (text_parquet, HEADER_SQL),
     "q_near_across_years": (near_across_years, _near_sql()),
