@@ -40,9 +40,9 @@ LEVEL = 3
 #: Pieces of a generation that a worker keeps; two generations are some 200 MB.
 KEPT_PIECES = 600_000
 #: Bytes of text whose pieces are numbered together.
-ENCODED_BYTES = 16 << 20
+ENCODED_BYTES = 8 << 20
 #: ASCII punctuation but the apostrophe, which can begin a word.
-MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Of the public zstandard formats: two skippable frames, the seek table's closing mark, checksums present.
 INDEX_MAGIC, SEEK_MAGIC, SEEK_END, CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
 #: size and checksum fields of a frame, and the seek table's footer
@@ -80,15 +80,13 @@ class LibraryEncoder:
         """Makes sure that all of them are kept."""
         kept, older, packed = self.pieces, self.older, self.packed
         kept.update([(p, older[p]) for p in wanted if p in older])
-        parts = [(p, *parted(p)) for p in wanted if p not in kept]
-        new = {x for _, core, ending in parts for x in (core, ending) if x not in kept}
+        new = [p for p in wanted if p not in kept]
         words = [x for x in new if x.isalpha() and x.isascii() and x.islower()]
         tokenize = self.model.tokenize
         kept.update([(x, b"".join([packed[t.id] for t in tokenize(x.decode())])) for x in words])
-        others = list(new.difference(words))
+        others = [x for x in new if x not in kept]
         found = self.library.encode_batch_fast([x.decode("utf-8", "replace") for x in others], add_special_tokens=False)
         kept.update([(x, b"".join([packed[i] for i in e.ids])) for x, e in zip(others, found, strict=True)])
-        kept.update([(p, kept[core] + kept[ending]) for p, core, ending in parts])
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         return self.encode_column(pa.array(texts, pa.binary()).view(pa.string()))
@@ -99,32 +97,49 @@ class LibraryEncoder:
             self.older, self.pieces = self.pieces, {b"": b""}
         cut = pa.compute.ascii_split_whitespace(texts)
         pieces = cut.flatten().dictionary_encode()
-        words, kept = pieces.dictionary.cast(pa.binary()).to_pylist(), self.pieces
+        parts = pa.concat_arrays(parted(pieces.dictionary)).dictionary_encode()
+        words, kept = parts.dictionary.cast(pa.binary()).to_pylist(), self.pieces
         if wanted := [p for p in words if p not in kept]:
             self.lookup(wanted)
         found = [kept[p] for p in words]
-        flat = np.frombuffer(b"".join(found), "<u4")
         sizes = np.array([len(x) for x in found], np.int64) // 4
+        # the ids of every different piece: those of its core, then of its ending
+        pairs = parts.indices.to_numpy().reshape(2, -1).T
+        flat = gathered(np.frombuffer(b"".join(found), "<u4"), sizes, pairs.ravel())
+        sizes = sizes[pairs].sum(1)
         numbers = pieces.indices.to_numpy()
-        lengths = sizes[numbers]
-        stops = np.r_[0, np.cumsum(lengths)]
-        # where each id comes from: its place behind the start of its piece's ids
-        source = np.repeat((np.cumsum(sizes) - sizes)[numbers] - stops[:-1], lengths)
-        source += np.arange(len(source))
-        ids = flat[source].tobytes()
+        ids = gathered(flat, sizes, numbers).tobytes()
+        stops = np.r_[0, np.cumsum(sizes[numbers])]
         offsets = cut.offsets.to_numpy() - cut.offsets[0].as_py()
         bounds = (4 * stops[offsets]).tolist()
         return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
-def parted(piece: bytes) -> tuple[bytes, bytes]:
-    """A core and an ending (or none) whose ids, one after the other, are those of the piece."""
-    if not piece.isascii() or b"<|" in piece:  # letters that compose before case is lost, or maybe a special token
-        return piece, b""
-    core = piece.rstrip(MARKS)
-    if len(core) < len(piece) and core[-1:].isalnum():
-        return core.lower(), piece[len(core) :]
-    return piece.lower(), b""
+def gathered(flat: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """The runs of `flat` of these numbers, one behind the other; sizes: of all runs."""
+    starts, lengths = np.cumsum(sizes) - sizes, sizes[numbers]
+    stops = np.cumsum(lengths)
+    source = np.repeat(starts[numbers] - stops + lengths, lengths)
+    source += np.arange(len(source))
+    return flat[source]
+
+
+def parted(pieces: pa.StringArray) -> list[pa.StringArray]:
+    """Of every piece a core and an ending (or none) whose ids, one after the other, are those of the piece."""
+    call = pa.compute
+    # other pieces may have letters that compose before case is lost, or a special token
+    plain = call.and_(call.string_is_ascii(pieces), call.invert(call.match_substring(pieces, "<|")))
+    trimmed = call.ascii_rtrim(pieces, characters=MARKS)
+    ends = call.and_(plain, call.match_substring_regex(trimmed, "[0-9A-Za-z]$"))
+    core = call.if_else(ends, trimmed, pieces)
+    size = (call.binary_length(pieces).to_numpy() - call.binary_length(core).to_numpy()).astype(np.int32)
+    held = np.zeros(2 * len(size), np.int64)  # of every piece what stays in the core, then its ending
+    held[0::2], held[1::2] = call.binary_length(core).to_numpy(), size
+    text = np.frombuffer(pieces.buffers()[2] or b"", np.uint8)  # of a dictionary, whose buffer starts with its first piece
+    endings = gathered(text, held, np.arange(1, len(held), 2))
+    offsets = np.r_[0, np.cumsum(size)].astype(np.int32)
+    ending = pa.StringArray.from_buffers(len(size), pa.py_buffer(offsets.tobytes()), pa.py_buffer(endings.tobytes()))
+    return [call.if_else(plain, call.ascii_lower(core), pieces), ending]
 
 
 @cache
