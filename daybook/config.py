@@ -84,6 +84,9 @@ class Config:
     semantics: str = "corrected"
     # Also match an event of the neighbouring year (28 December against 3 January).
     wrap_year_end: bool = False
+    # Which purchases decide on a day whether a card is dormant or archived: "all" of the data, as in the replaced job (a card
+    # never leaves either state), or those "so_far", up to the day (a card leaves when it buys).
+    state_purchases: str = "all"
     # What an unreadable campaign number becomes: "zero" or "null".
     bad_number: str = "zero"
     # What amounts and campaign figures are added up in. Doubles lose no value and are added up exactly, rounded once
@@ -101,6 +104,10 @@ class Config:
             raise ValueError(f"semantics must be 'corrected' or 'reference', not {self.semantics!r}")
         if self.bad_number not in ("zero", "null"):
             raise ValueError(f"bad_number must be 'zero' or 'null', not {self.bad_number!r}")
+        if self.state_purchases not in ("all", "so_far"):
+            raise ValueError(f"state_purchases must be 'all' or 'so_far', not {self.state_purchases!r}")
+        if self.state_purchases == "so_far" and self.literal:
+            raise ValueError("the literal results know no states by the purchases so far")
         if not self.program_channels:
             raise ValueError("program_channels must name at least one channel")
         # All channel and keyword tests ignore case.
@@ -117,6 +124,11 @@ class Config:
     def exact_figures(self) -> bool:
         return not self.literal and self.figure_type == "double"
 
+    @property
+    def leaving(self) -> bool:
+        """Whether cards leave the states of dormant and archived ones when they buy."""
+        return self.state_purchases == "so_far"
+
     @property
     def literal(self) -> bool:
         """True when the literal results of the replaced job are wanted."""

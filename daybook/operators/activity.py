@@ -88,6 +88,30 @@ def _entry_day(name: str, cfg: Config) -> Column:
     return F.col("low_points_since")
 
 
+def _spells(name: str, cfg: Config) -> list[tuple[Column, Column, Column]]:
+    """When a row of a card begins and ends spells in a state that the card leaves when it buys: condition, entry, exit (null:
+    for good). The conditions: of a card's first row or its only one (``is_first_row``), or of any day of purchases."""
+    enrolled, day, lead = F.col("enrolled"), F.col("date"), F.col("is_first_row")
+    if name == "membersarchived":
+        lapsed = F.when(enrolled.isNotNull(), F.greatest(enrolled, first_after(day, cfg.archive_months)))
+        return [(lead, enrolled, F.col("first_day")), (day.isNotNull(), lapsed, F.col("next_day"))]
+    if name == "dormantcustomers":
+        spent = day.isNotNull() & F.col("spent_in_focus") & F.col("holds_points")
+        return [(spent, first_after(day, cfg.dormant_months), F.col("next_focus_spend_day"))]
+    return [(lead, F.col("low_points_since"), F.lit(None).cast("date"))]
+
+
+def _steps(name: str, cfg: Config) -> list[Column]:
+    """The days on which a row's spells begin (1) and end (-1), null where there are none."""
+    steps = []
+    for condition, entry, exit_ in _spells(name, cfg):
+        holds = condition & (exit_.isNull() | (entry < exit_))
+        for day, step in ((entry, 1), (exit_, -1)):
+            on = F.when(holds & entry.isNotNull(), clamp_entry(day, cfg.spine_start))
+            steps.append(F.struct(F.lit(name).alias("kind"), on.alias("on"), F.lit(step).alias("step")))
+    return steps
+
+
 def _day_measure(name: str, in_parts: bool) -> list[Column]:
     """Aggregates over the splits of a day. A card has one row per day that counts, so rows are cards."""
     is_purchase = F.col("kind") == _PURCHASE
@@ -123,7 +147,7 @@ def _day_measure(name: str, in_parts: bool) -> list[Column]:
 def activity_by_day(tables: Tables, cfg: Config, measures: Iterable[str] = ALL) -> DataFrame:
     """One row per day with the asked measures, ``is_focus_day`` and, with measures of member days, ``is_enrollment_day``.
 
-    State measures hold the number of cards that enter the state on the day, with entries before
+    State measures hold the number of cards that enter the state on the day less those that leave it, with days before
     the calendar moved to its first day. Measures of yearly events hold the number of cards that count on the day and on
     every later one of the same month and day. Days before the calendar are still in the result.
     """
@@ -151,7 +175,8 @@ def contributions(
     """
     states = [name for name in STATE if name in asked]
     splits = [name for name, users in _SPLITS.items() if users & set(asked)]
-    rows = with_history(days)
+    leaving = cfg.leaving and bool(states)
+    rows = with_history(days, following=leaving)
     # of a card and day only one row counts; rows of cards without purchases have no bin
     counts = F.coalesce(F.col("amount_bin"), F.lit(0)) == 0 if in_parts else F.lit(True)
     bins, sums = (["amount_bin"], exact.summed("amount")) if in_parts else ([], [F.sum("amount").alias("amount")])
@@ -166,13 +191,19 @@ def contributions(
     own = F.struct(own_kind.alias("kind"), F.col("date").alias("on"))
     entries = [
         F.struct(F.lit(name).alias("kind"), clamp_entry(_entry_day(name, cfg), cfg.spine_start).alias("on"))
-        for name in states
+        for name in states if not cfg.leaving
     ]
     speaks_for_card = F.col("date").isNull() | ((F.col("date") == F.col("first_day")) & counts)
     said = F.array(own, *entries)
     if member_days:
         said = F.concat(said, F.coalesce(F.col("member_days"), F.array().cast("array<struct<kind:string,on:date>>")))
     spoken = F.when(speaks_for_card, said).otherwise(F.array(own)) if entries or member_days else F.array(own)
+    if leaving:
+        # any day of purchases may begin and end a spell, so every row that counts speaks for them
+        stepped = F.transform(spoken, lambda s: F.struct(s.kind.alias("kind"), s.on.alias("on"), F.lit(1).alias("step")))
+        steps = F.array(*[step for name in states for step in _steps(name, cfg)])
+        spoken = F.concat(stepped, F.when(F.col("card_no").isNotNull() & counts, steps).otherwise(F.slice(steps, 1, 0)))
+        rows = rows.withColumn("is_first_row", speaks_for_card)
     rows = rows.withColumns({name: _split(name, cfg) for name in splits}).select("*", F.inline(spoken))
 
     # One amount and one count per split, instead of a sum per measure over all rows: a day has at
@@ -185,11 +216,13 @@ def contributions(
         "diamondenthusiasts": lambda: F.count_if(F.col("keyword_in_focus") & is_member),
         "activecustomers": lambda: F.count_if(F.col("spent_in_program") & (F.col("date") >= F.col("enrolled"))),
     }
+    is_card = counts & ((F.col("kind") != ENROLLED) | F.col("card_no").isNotNull())
+    cards_on = F.sum(F.when(is_card, F.col("step")).otherwise(0)) if leaving else F.count_if(is_card)
     return (
         rows.filter(F.col("on").isNotNull())
         .groupBy("on", "kind", *splits, *bins)
         .agg(
-            F.count_if(counts & ((F.col("kind") != ENROLLED) | F.col("card_no").isNotNull())).alias("cards"),
+            cards_on.alias("cards"),
             *sums,
             F.count_if("in_focus").alias("focus_rows"),
             *[column().alias(name) for name, column in flags.items() if name in asked],

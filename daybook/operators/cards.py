@@ -88,9 +88,15 @@ def card_days_of_changes(changes: DataFrame, cfg: Config) -> DataFrame:
     return added.where("rows <> 0").withColumns(facts).drop("rows")
 
 
-def with_history(days: DataFrame) -> DataFrame:
-    """Adds to each card-day the card's first and last days of several kinds."""
+def with_history(days: DataFrame, following: bool = False) -> DataFrame:
+    """Adds to each card-day the card's first and last days of several kinds, and if asked its next days of two kinds."""
     card = Window.partitionBy("card_no")
+    # from the last day back, so that the frame only grows
+    later = card.orderBy(-F.unix_date("date")).rangeBetween(Window.unboundedPreceding, -1)
+    following_days = {
+        "next_day": F.min("date").over(later),
+        "next_focus_spend_day": F.min(F.when(F.col("spent_in_focus"), F.col("date"))).over(later),
+    }
 
     def first_day(condition):
         return F.min(F.when(condition, F.col("date"))).over(card)
@@ -102,6 +108,7 @@ def with_history(days: DataFrame) -> DataFrame:
         first_day(F.col("in_focus")).alias("first_focus_day"),
         first_day(F.col("elsewhere")).alias("first_elsewhere_day"),
         F.max(F.when(F.col("spent_in_focus"), F.col("date"))).over(card).alias("last_focus_spend_day"),
+        *[day.alias(name) for name, day in following_days.items() if following],
     )
 
 

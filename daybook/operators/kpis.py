@@ -17,9 +17,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from daybook.config import Config
 from daybook.functions import exact
 from daybook.functions.dates import first_after
-from daybook.operators.activity import activity_by_day, first_focus_reasons
+from daybook.operators.activity import ENROLLMENT_DAY, FOCUS_DAY, activity_by_day, first_focus_reasons
 from daybook.operators.base import base_on
 from daybook.operators.campaigns import LABELS, campaigns_by_day
+from daybook.operators.cards import ENROLLED
 from daybook.operators.members import enrolled_by_day, events_on_calendar
 from daybook.operators.population import clamp_entry, population_by_day, running_total
 from daybook.operators.spine import calendarise, date_spine, spine_bounds
@@ -92,6 +93,16 @@ def _state_per_card(
     return calendar.select("date", running_total(name).alias(name))
 
 
+def _state_so_far(tables: Tables, cfg: Config, name: str) -> DataFrame:
+    """A state that cards leave when they buy, from the pass over card-days; enrollments say where the calendar ends."""
+    days = activity_by_day(tables, cfg, [name, ENROLLED]).select("date", name, (F.col(FOCUS_DAY) | F.col(ENROLLMENT_DAY)).alias("is_end"))
+    start = tables.members.sparkSession.range(1).select(
+        F.lit(cfg.spine_start).alias("date"), F.lit(0).cast("long").alias(name), F.lit(False).alias("is_end")
+    )
+    per_day = days.union(start).groupBy("date").agg(F.sum(name).alias(name), F.bool_or("is_end").alias("is_end"))
+    return calendarise(per_day, cfg.spine_start, F.col("is_end")).select("date", running_total(name).alias(name))
+
+
 def new_customers(tables: Tables, cfg: Config) -> DataFrame:
     """Cards whose first purchase ever is on the day."""
     rows = _purchases(tables) if tables.card_days is None else tables.card_days.where("card_no IS NOT NULL")
@@ -168,7 +179,9 @@ def enrolled_customers(tables: Tables, cfg: Config) -> DataFrame:
 
 def members_archived(tables: Tables, cfg: Config) -> DataFrame:
     """Member cards enrolled by the day that never bought, or whose last purchase of all is more
-    than ``archive_months`` before the day."""
+    than ``archive_months`` before the day. By the purchases ``so_far``, a card leaves with its next purchase."""
+    if cfg.leaving:
+        return _state_so_far(tables, cfg, "membersarchived")
     lapsed = first_after(F.col("last_day"), cfg.archive_months)  # null without any purchase
     entry = F.when(F.col("enrolled").isNotNull(), F.greatest("enrolled", lapsed))
     return _state_per_card(tables, cfg, {"last_day": F.max("invoice_date")}, {}, entry, "membersarchived")
@@ -202,7 +215,9 @@ def keyword_buyers(tables: Tables, cfg: Config) -> DataFrame:
 
 def dormant_customers(tables: Tables, cfg: Config) -> DataFrame:
     """Member cards above the point threshold whose last focus-channel purchase with an amount is
-    more than ``dormant_months`` before the day."""
+    more than ``dormant_months`` before the day. By the purchases ``so_far``, a card leaves with its next such purchase."""
+    if cfg.leaving:
+        return _state_so_far(tables, cfg, "dormantcustomers")
     spent = F.max(F.when(_in_focus(cfg) & F.col("is_nonzero"), F.col("invoice_date")))
     holds = F.bool_or(F.coalesce(F.col("point_balance") > cfg.point_threshold, F.lit(False)))
     entry = F.when(F.col("holds"), first_after(F.col("last_day"), cfg.dormant_months))

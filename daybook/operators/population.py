@@ -1,8 +1,11 @@
-"""How many cards are in a state on each day, for states that a card never leaves.
+"""How many cards are in a state on each day.
 
-Joining every day with every card that qualifies by then costs days x cards rows. Since a card
+For states that a card never leaves: joining every day with every card that qualifies by then costs days x cards rows. Since a card
 that qualifies once qualifies on every later day, it is enough to know its *entry day*: count the
 entries per day and add them up along the calendar.
+
+States that cards enter and leave are a sweep over +1 and -1 events: first by card, which joins its spells that
+overlap or touch, then by day.
 """
 
 from __future__ import annotations
@@ -37,3 +40,29 @@ def population_by_day(entries: DataFrame, spine: DataFrame, first: dt.date, name
         .agg(F.count("*").alias(name))
     )
     return spine.join(per_day, "date", "left").select("date", running_total(name).alias(name))
+
+
+def population_in_spells(spells: DataFrame, spine: DataFrame, first: dt.date, name: str) -> DataFrame:
+    """From ``spells(card_no, entry, exit)`` and a spine that starts on ``first`` to ``(date, name)``.
+
+    A card is in the state from ``entry`` on and before ``exit`` (null: for good), once however many of its spells
+    overlap. Null cards, null entries and spells that end before they begin never count. Events are combined on
+    the map side by card and day, so a card with a third of all spells has at most a row per day when it is gathered.
+    """
+    entry, exit_ = F.col("entry"), F.col("exit")
+    begin, end = clamp_entry(entry, first), clamp_entry(exit_, first)
+    step = Window.partitionBy("card_no").orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    open_ = F.col("open")
+    flips = (
+        spells.filter(F.col("card_no").isNotNull() & entry.isNotNull() & (exit_.isNull() | (exit_ > entry)))
+        .select("card_no", F.inline(F.array(
+            F.struct(begin.alias("date"), F.lit(1).alias("step")), F.struct(end.alias("date"), F.lit(-1).alias("step"))
+        )))
+        .filter(F.col("date").isNotNull())
+        .groupBy("card_no", "date")
+        .agg(F.sum("step").alias("step"))
+        .withColumn("open", F.sum("step").over(step))
+        .select("date", ((open_ > 0).cast("int") - (open_ > F.col("step")).cast("int")).alias("flip"))
+    )
+    per_day = flips.groupBy("date").agg(F.sum("flip").alias(name))
+    return spine.join(per_day, "date", "left").select("date", running_total(name).alias(name))

@@ -22,6 +22,7 @@ CONFIG = Config(
     base_overrides={dt.date(1999, 6, 1): 41250, dt.date(2000, 2, 29): 17},
 )
 LITERAL = replace(CONFIG, semantics="reference")
+SO_FAR = replace(CONFIG, state_purchases="so_far")
 
 MEMBERS = """
 SELECT CASE WHEN c_custkey % 97 = 5 THEN 'None'

@@ -146,6 +146,29 @@ def _cross_channel(literal: bool) -> str:
         FROM {_FIRST_FOCUS} JOIN ({reasons}) USING (card) GROUP BY first_focus"""
 
 
+def _states_so_far() -> dict[str, str]:
+    """The states that follow the purchases up to the day: cards that qualify by then, but for those that bought lately."""
+
+    def state(name, qualified, bought, months):
+        return f"""
+            SELECT date, CAST(coalesce(cards, 0) - coalesce(lately, 0) AS BIGINT) AS {name} FROM spine
+            LEFT JOIN (SELECT date, count(DISTINCT card) AS cards FROM spine JOIN ({qualified}) ON since <= date GROUP BY date) USING (date)
+            LEFT JOIN (SELECT date, count(DISTINCT card) AS lately FROM spine JOIN ({bought})
+                       ON since <= date AND day BETWEEN date - INTERVAL {months} MONTH AND date GROUP BY date) USING (date)"""
+
+    enrolled = "SELECT card, min(enrolled) AS since FROM m WHERE card IS NOT NULL GROUP BY card"
+    spent = (
+        f"SELECT DISTINCT card, day, day AS since FROM t WHERE nonzero AND channel = {FOCUS} "
+        f"AND card IN (SELECT card FROM m WHERE points > {CONFIG.point_threshold})"
+    )
+    return {
+        "membersarchived": state(
+            "membersarchived", enrolled, f"SELECT DISTINCT card, day, since FROM t JOIN ({enrolled}) USING (card)", CONFIG.archive_months
+        ),
+        "dormantcustomers": state("dormantcustomers", spent, spent, CONFIG.dormant_months),
+    }
+
+
 def _measures(literal: bool) -> dict[str, str]:
     """Name of the measure -> SELECT of (date, measure ...) over the CTEs of ``_clean``."""
 
@@ -246,12 +269,13 @@ def rounded(select: str, names: list[str], digits: dict[str, int]) -> str:
     return f"SELECT {', '.join(columns)} FROM ({select}) AS exact"
 
 
-def measure(name: str, names: list[str], digits: dict[str, int]) -> str:
-    return with_clean(rounded(_measures(False)[name], ["date", *names], digits))
+def measure(name: str, names: list[str], digits: dict[str, int], so_far: bool = False) -> str:
+    measures = _measures(False) | (_states_so_far() if so_far else {})
+    return with_clean(rounded(measures[name], ["date", *names], digits))
 
 
-def daily(columns: tuple[str, ...], digits: dict[str, int], literal: bool) -> str:
-    measures = _measures(literal)
+def daily(columns: tuple[str, ...], digits: dict[str, int], literal: bool, so_far: bool = False) -> str:
+    measures = _measures(literal) | (_states_so_far() if so_far else {})
     ctes = _clean(literal) | {f"part_{name}": sql for name, sql in measures.items()}
     joins = " ".join(f"LEFT JOIN part_{name} USING (date)" for name in measures)
 
