@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from daybook.config import Config
 from daybook.functions.headers import as_text, standardise_headers
 from daybook.plans.daily import daily
+from daybook.sources.published import publish
 from daybook.sources.tables import Tables
 from daybook.sources.writers import write_csv, write_parquet, write_snapshot
 
@@ -16,9 +17,18 @@ MONTH = "invoice_month"
 _TABLES = ("members", "transactions", "campaigns")
 
 
-def daily_job(members: DataFrame, transactions: DataFrame, campaigns: DataFrame, cfg: Config, path: str) -> None:
-    """Raw tables to the consolidated frame, written over the last one."""
-    write_parquet(daily(Tables(members, transactions, campaigns, cfg), cfg), path)
+def daily_job(
+    members: DataFrame, transactions: DataFrame, campaigns: DataFrame, cfg: Config, path: str, staged: bool = False
+) -> None:
+    """Raw tables to the consolidated frame, written over the last one.
+
+    ``staged`` writes it beside the last one, which readers (``sources.published.read_published``) see until it is complete.
+    """
+    frame = daily(Tables(members, transactions, campaigns, cfg), cfg)
+    if staged:
+        publish(frame, path)
+    else:
+        write_parquet(frame, path)
 
 
 def clean_job(

@@ -5,19 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from daybook import daily
 from daybook.functions import dates, ids, numbers
 from daybook.operators import kpis
 from daybook.operators.cards import card_days
-from daybook.operators.population import population_by_day
+from daybook.operators.population import population_by_day, population_in_spells
 from daybook.operators.spine import date_spine, spine_bounds
 from daybook.plans.clustered import cluster_job, read_clustered
 from daybook.plans.daily import COLUMNS
 from daybook.plans.jobs import clean_job, csv_job, daily_job, read_clean, snapshot_job, standardise, text_parquet_job
 from daybook.plans.refresh import CHANGE, DailyState
+from daybook.sources.published import publish, read_published
 from daybook.sources.readers import read_csv_export, read_files, read_table
+from daybook.sources.rejects import conform_job, read_quarantine
 from daybook.sources.schemas import (
     CAMPAIGN_DDL,
     TRANSACTION_DDL,
@@ -28,8 +30,9 @@ from daybook.sources.schemas import (
     transaction_schema,
 )
 from daybook.sources.scratch import scratch
+from daybook.sources.splits import split_points, split_predicates
 from workload import oracles
-from workload.inputs import CONFIG, LITERAL, raw_campaigns, raw_members, raw_transactions, tables
+from workload.inputs import CONFIG, LITERAL, SO_FAR, raw_campaigns, raw_members, raw_transactions, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -105,6 +108,26 @@ POPULATION_SQL = oracles.with_clean("""
     FROM spine LEFT JOIN orders ON CAST(o_orderdate AS DATE) <= date GROUP BY date""")
 
 
+def in_spells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with a line that is ordered and not shipped yet, which overlap."""
+    orders, lines = _read(spark, sf_dir, "orders"), _read(spark, sf_dir, "lineitem")
+    spells = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        F.col("o_custkey").alias("card_no"),
+        F.col("o_orderdate").cast("date").alias("entry"),
+        F.col("l_shipdate").cast("date").alias("exit"),
+    )
+    return population_in_spells(spells, spine(spark, sf_dir), CONFIG.spine_start, "customers")
+
+
+IN_SPELLS_SQL = oracles.with_clean("""
+    SELECT date, CAST(count(DISTINCT o_custkey) AS BIGINT) AS customers
+    FROM spine LEFT JOIN (
+        SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS ordered, CAST(l_shipdate AS DATE) AS shipped
+        FROM orders JOIN lineitem ON l_orderkey = o_orderkey) AS on_the_way
+      ON ordered <= date AND date < shipped
+    GROUP BY date""")
+
+
 def clean_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_transactions(spark, sf_dir)
     column, data_type = F.col("card_no"), raw.schema["card_no"].dataType
@@ -219,6 +242,100 @@ CONFORM_CAMPAIGNS_SQL = oracles.conformed(
 )
 
 
+CAMPAIGN_TYPES = """
+    deployment_date DATE, target_count INT NOT NULL, buyers INT, incremental_rev DECIMAL(4,2), sale_value_1 DECIMAL(15,2),
+    conversion_1 DOUBLE, channel STRING NOT NULL, brand STRING, sl_no INT NOT NULL"""
+
+
+def quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells of the raw campaigns that do not fit a typed schema, from one written pass over them."""
+    path = scratch(spark, "conformed")
+    counts = conform_job(raw_campaigns(spark, sf_dir), T.StructType.fromDDL(CAMPAIGN_TYPES), path)
+    observed = spark.createDataFrame([(*name, n) for name, n in counts.items()], "column string, reason string, observed long")
+    found = read_quarantine(spark, path).groupBy("column", "reason").agg(
+        F.count("*").alias("cells"), F.max("cell").alias("largest")
+    )
+    return found.join(observed, ["column", "reason"], "full")
+
+
+def _quarantine_sql() -> str:
+    def count(column, reason, where, cell=None):
+        return (
+            f"SELECT '{column}' AS \"column\", '{reason}' AS reason, count(*) AS cells, max({cell or column}) AS largest, "
+            f"count(*) AS observed FROM raw WHERE {where} HAVING count(*) > 0"
+        )
+
+    whole, number = "'[+-]?[0-9]+'", "'[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?'"
+
+    def counted(column):
+        is_whole, is_number = (f"regexp_full_match(trim({column}), {pattern})" for pattern in (whole, number))
+        return [
+            count(column, "out of range", f"{is_whole} AND TRY_CAST(trim({column}) AS INT) IS NULL"),
+            count(column, "not whole", f"{is_number} AND NOT {is_whole}"),
+            count(column, "unreadable", f"NOT {is_number}"),
+        ]
+
+    def measured(column, limit):
+        is_number = f"regexp_full_match(trim({column}), {number})"
+        far = f"abs(CASE WHEN {is_number} THEN CAST(trim({column}) AS DOUBLE) END) >= {limit}"
+        return [count(column, "out of range", far), count(column, "unreadable", f"NOT {is_number}")]
+
+    parts = [
+        count("deployment_date", "unreadable", f"deployment_date IS NOT NULL AND {oracles.day('deployment_date')} IS NULL"),
+        *counted("target_count"), *counted("buyers"), *measured("incremental_rev", 99.995), *measured("sale_value_1", 1e13),
+        measured("conversion_1", 1e300)[1], count("channel", "missing", "channel IS NULL"),
+        count("sl_no", "missing", "TRUE", "CAST(NULL AS VARCHAR)"),
+    ]
+    return f"WITH raw AS ({oracles.RAW_CAMPAIGNS}) {' UNION ALL '.join(parts)}"
+
+
+def split_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per part of the order lines, split by dates and by texts, and how many parts a row is in at most."""
+    lines, parts = _read(spark, sf_dir, "lineitem"), _read(spark, sf_dir, "part")
+    frames = []
+    for table, column, expression in (
+        (lines.select(F.col("l_shipdate").cast("date").alias("value")), "l_shipdate", 8),
+        (parts.select(F.col("p_type").alias("value")), "p_type", 6),
+        (lines.select(F.when(F.col("l_linenumber") > 1, F.col("l_returnflag")).alias("value")), "l_returnflag", 5),
+    ):
+        points = split_points(table, "value", expression)
+        tests = [F.expr(f"coalesce({predicate}, FALSE)") for predicate in split_predicates("value", points, "\\\\")]
+        held = F.filter(F.array(*[F.when(test, F.lit(i)) for i, test in enumerate(tests)]), lambda i: i.isNotNull())
+        frames.append(
+            table.select(held.alias("held"), F.col("value").cast("string").alias("value"))
+            .groupBy(F.lit(column).alias("split_by"), F.col("held")[0].alias("part"))
+            .agg(F.count("*").alias("lines"), F.max(F.size("held")).alias("parts_of_a_row"), F.min("value").alias("least"))
+        )
+    return frames[0].union(frames[1]).union(frames[2])
+
+
+def _split_sql() -> str:
+    def parts(column, value, table, n):
+        return f"""
+            SELECT '{column}' AS split_by, CAST(coalesce(part, 0) AS INT) AS part, count(*) AS lines, 1 AS parts_of_a_row,
+                   min(CAST(value AS VARCHAR)) AS least
+            FROM (SELECT {value} AS value FROM {table}) AS given LEFT JOIN (
+                SELECT value, dense_rank() OVER (ORDER BY share) - 1 AS part FROM (
+                    SELECT value, CAST(floor((sum(n) OVER (ORDER BY value) - n) * {n} // sum(n) OVER ()) AS INT) AS share
+                    FROM (SELECT {value} AS value, count(*) AS n FROM {table} WHERE {value} IS NOT NULL GROUP BY 1) AS c) AS s) AS p
+              USING (value) GROUP BY 1, 2"""
+
+    return " UNION ALL ".join([
+        parts("l_shipdate", "CAST(l_shipdate AS DATE)", "lineitem", 8),
+        parts("p_type", "p_type", "part", 6),
+        parts("l_returnflag", "CASE WHEN l_linenumber > 1 THEN l_returnflag END", "lineitem", 5),
+    ])
+
+
+def published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders, published after a result that lacked some of them, from that result and the rest."""
+    path, orders = scratch(spark, "published"), _read(spark, sf_dir, "orders")
+    is_late = F.col("o_orderstatus") == "O"
+    publish(orders.where(~is_late), path)
+    rows = publish(read_published(spark, path).union(orders.where(is_late)), path)
+    return read_published(spark, path).withColumn("rows_written", F.lit(rows).cast("long"))
+
+
 def catalog_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders through the catalog."""
     _read(spark, sf_dir, "orders").createOrReplaceTempView("daybook_orders")
@@ -411,18 +528,22 @@ CARD_DAYS_SQL = oracles.with_clean(f"""
     FROM every_t GROUP BY card, day""")
 
 
-def _measure(function) -> Query:
-    return lambda spark, sf_dir: _rounded(function(tables(spark, sf_dir), CONFIG))
+def _measure(function, cfg=CONFIG) -> Query:
+    return lambda spark, sf_dir: _rounded(function(tables(spark, sf_dir, cfg), cfg))
 
 
-def _measure_sql(name: str, *columns: str) -> str:
-    return oracles.measure(name, list(columns) or [name], DIGITS)
+def _measure_sql(name: str, *columns: str, so_far: bool = False) -> str:
+    return oracles.measure(name, list(columns) or [name], DIGITS, so_far)
 
 
 QUERIES: dict[str, tuple[Query, str]] = {
     **{query: (_measure(function), _measure_sql(*sql)) for query, (function, *sql) in MEASURES.items()},
     "q_m26_daily": (_daily(CONFIG), oracles.daily(COLUMNS, DIGITS, literal=False)),
     "q_m26_daily_literal": (_daily(LITERAL), oracles.daily(COLUMNS, DIGITS, literal=True)),
+    "q_archived_so_far": (_measure(kpis.members_archived, SO_FAR), _measure_sql("membersarchived", so_far=True)),
+    "q_dormant_so_far": (_measure(kpis.dormant_customers, SO_FAR), _measure_sql("dormantcustomers", so_far=True)),
+    "q_daily_so_far": (_daily(SO_FAR), oracles.daily(COLUMNS, DIGITS, literal=False, so_far=True)),
+    "q_population_in_spells": (in_spells, IN_SPELLS_SQL),
     "q_spine": (spine, SPINE_SQL),
     "q_population_by_day": (population, POPULATION_SQL),
     "q_card_days": (card_day_facts, CARD_DAYS_SQL),
@@ -444,4 +565,7 @@ QUERIES: dict[str, tuple[Query, str]] = {
     "q_near_across_years": (near_across_years, _near_sql()),
     "q_snapshot_roundtrip": (snapshot_roundtrip, SNAPSHOT_SQL),
     "q_csv_roundtrip": (csv_roundtrip, CSV_SQL),
+    "q_quarantine": (quarantined, _quarantine_sql()),
+    "q_split_reads": (split_reads, _split_sql()),
+    "q_published": (published, SNAPSHOT_SQL),
 }
