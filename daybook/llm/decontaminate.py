@@ -8,9 +8,14 @@ of suffixes that begin with an item's window of 13 words gives all its occurrenc
 Only words that some item has get a number. Runs of such words shorter than the shortest window cannot
 hold one and are left out of the array; this drops no match, since a match consists of item words only.
 
-Scale: a document's rows never leave its task, so there is no shuffle and no group. The benchmark is read
-by the driver in blocks of a fixed number of words (whole items; a block holds more only if a single item is
-longer), each sent out and dropped before the next; a task works through the blocks one after the other.
+Windows of the same words have the same range, which is kept once, however often benchmark rows repeat it; ranges of
+equal length are disjoint, so a text has at most 13 entries a word, one length in memory at a time. Items
+are joined to the documents of a range a fixed number of pairs at a time.
+
+Scale: a document's rows never leave its task, so there is no shuffle and no group. The benchmark is a written
+table in the shared folder, which tasks read in blocks of a fixed number of words (whole items; a block holds more
+only if a single item is longer), one after the other; nothing of it passes through the driver. A table of one
+block is read and prepared once per task, a larger one once per 16 MB of text.
 
 Defined cases: null and empty texts have no words, are not hit and not contaminated. Items without words
 have no window. Rows of one item_id are one item, which occurs if a window of any of its rows does; rows
@@ -29,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.llm import vectors
 from daybook.llm.common import as_bytes, map_arrow, slices
 
 WINDOW = 13
@@ -36,6 +42,10 @@ WINDOW = 13
 SHARE = 20
 #: Benchmark words in memory at a time.
 BLOCK_WORDS = 200_000
+#: Benchmark rows read at a time.
+ROWS = 1024
+#: Pairs of document and item in memory at a time, beyond those found.
+PAIRS = 1 << 21
 #: Bytes of documents per suffix array.
 SHARD_BYTES = 16 << 20
 #: A-Z to a-z; all that isn't a word (ASCII but digits and letters) to a blank.
@@ -150,11 +160,31 @@ class Found:
     """What a shard holds: hit documents' places, and the longest match of each item suffix."""
 
     hit: np.ndarray  # per word of the shard's text
-    occurrences: tuple[np.ndarray, np.ndarray]  # position in the text, item
+    pairs: tuple[np.ndarray, np.ndarray]  # document, item with a window in it; each pair once
     longest: tuple[np.ndarray, np.ndarray]  # per suffix: length, position
 
 
-def search(text: np.ndarray, queries: Queries, window: int, deepest: bool = False) -> Found:
+def steps(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each number n of a list its place n times, with 0 to n - 1."""
+    which = np.repeat(np.arange(len(count)), count)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+
+
+def united(ranges: np.ndarray, docs: np.ndarray, items_from: np.ndarray, items: np.ndarray, n_items: int) -> np.ndarray:
+    """document * n_items + item, each once, for pairs of a range and a document; a range's items lie between its two
+    numbers in items_from."""
+    count = np.diff(items_from)[ranges]
+    cuts = np.flatnonzero(np.diff(np.cumsum(count) // PAIRS)) + 1
+    found = np.zeros(0, np.int64)
+    for part in np.split(np.arange(len(ranges)), cuts):
+        which, nth = steps(count[part])
+        item = items[items_from[ranges[part]][which] + nth]
+        found = np.union1d(found, docs[part][which] * n_items + item)
+    return found
+
+
+def search(text: np.ndarray, doc: np.ndarray, queries: Queries, window: int, deepest: bool = False) -> Found:
+    """`doc`: the document of each word of the text."""
     order = suffix_array(text, int(max(window, (queries.stop - queries.start).max())) if deepest else window)
     low = bisect(text, order, queries.rows, queries.length, False)
     high = bisect(text, order, queries.rows, queries.length, True)
@@ -166,14 +196,22 @@ def search(text: np.ndarray, queries: Queries, window: int, deepest: bool = Fals
         better = np.flatnonzero(inside)[length > longest[inside]]
         place[better] = at[length > longest[inside]]
         longest[inside] = np.maximum(longest[inside], length)
-    count = np.where(queries.window, high - low, 0)
-    which = np.repeat(np.arange(len(low)), count)
-    nth = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
-    at = order[low[which] + nth]
-    edge = np.zeros(len(text) + 1, np.int64)
-    np.add.at(edge, at, 1)
-    np.add.at(edge, at + queries.length[which], -1)
-    return Found(np.cumsum(edge[:-1]) > 0, (at, queries.item[which]), (longest, place))
+
+    held = np.flatnonzero(queries.window & (high > low))
+    n_items, n_docs = int(queries.item[-1]) + 1, int(doc.max()) + 1
+    ranges, which = np.unique(np.stack([queries.length[held], low[held], high[held]], axis=1), axis=0, return_inverse=True)
+    of_range = np.unique(which.reshape(-1) * n_items + queries.item[held])
+    items_from = np.searchsorted(of_range // n_items, np.arange(len(ranges) + 1))
+    edge, pairs = np.zeros(len(text) + 1, np.int64), np.zeros(0, np.int64)
+    for length in np.unique(ranges[:, 0]):
+        own = np.flatnonzero(ranges[:, 0] == length)
+        nth_range, nth = steps(ranges[own, 2] - ranges[own, 1])
+        at = order[ranges[own, 1][nth_range] + nth]
+        edge[:-1] += np.bincount(at, minlength=len(text))
+        edge += np.bincount(at + length, minlength=len(edge)) * -1
+        seen = np.unique(own[nth_range] * n_docs + doc[at])
+        pairs = np.union1d(pairs, united(seen // n_docs, seen % n_docs, items_from, of_range % n_items, n_items))
+    return Found(np.cumsum(edge[:-1]) > 0, (pairs // n_items, pairs % n_items), (longest, place))
 
 
 def runs(numbers: np.ndarray, shortest: int) -> np.ndarray:
@@ -207,35 +245,46 @@ class Shard:
         self.text, self.doc, self.place = map(np.concatenate, (texts, docs, places))
 
 
-def blocks(benchmark: DataFrame, size: int = BLOCK_WORDS) -> Iterator[Block]:
-    """The benchmark in blocks, read partition by partition."""
+def written(benchmark: DataFrame) -> str:
+    """The benchmark as files that tasks read; their path."""
+    return vectors.stored(benchmark.select("item_id", "text"), "benchmark")
+
+
+def blocks(path: str, size: int = BLOCK_WORDS) -> Iterator[Block]:
+    """The written benchmark in blocks, in the same order for every reader."""
     held: list[tuple[object, bytes]] = []
     n = 0
-    for row in benchmark.select("item_id", "text").toLocalIterator():
-        held.append((row["item_id"], (row["text"] or "").encode()))
-        n += len(words(held[-1][1]))
-        if n >= size:
-            yield Block.of(held)
-            held, n = [], 0
+    for batch in vectors.blocks(path, ROWS):
+        for item_id, text in zip(batch.column("item_id").to_pylist(), as_bytes(batch), strict=True):
+            held.append((item_id, text))
+            n += len(words(text))
+            if n >= size:
+                yield Block.of(held)
+                held, n = [], 0
     yield Block.of(held)
 
 
-def broadcasts(benchmark: DataFrame, size: int = BLOCK_WORDS) -> list:
-    return [benchmark.sparkSession.sparkContext.broadcast(b) for b in blocks(benchmark, size)]
+def prepared(path: str, window: int, size: int) -> Iterator[Iterator[tuple[Block, Queries]]]:
+    """Each block with its suffixes, in turn, again and again; a single block is read and prepared once."""
+    once: list[tuple[Block, Queries]] = []
 
+    def round_() -> Iterator[tuple[Block, Queries]]:
+        first, n = None, 0
+        for block in blocks(path, size):
+            ready, n = (block, Queries(block, window)), n + 1
+            first = ready if n == 1 else None
+            yield ready
+        once.extend([first] if first else [])
 
-def prepared(sent: list, window: int) -> Iterator[tuple[Block, Queries]]:
-    """Each block with its suffixes, in turn; a single block is prepared once."""
-    once = [(b.value, Queries(b.value, window)) for b in sent] if len(sent) == 1 else None
     while True:
-        yield iter(once or ((b.value, Queries(b.value, window)) for b in sent))
+        yield iter(once) if once else round_()
 
 
 class Detector:
-    """Holds texts against all blocks (broadcasts), one after the other."""
+    """Holds texts against all blocks of a written benchmark, one after the other."""
 
-    def __init__(self, sent: list, window: int):
-        self.rounds, self.window = prepared(sent, window), window
+    def __init__(self, path: str, window: int, block_words: int):
+        self.rounds, self.window = prepared(path, window, block_words), window
 
     def __call__(self, texts: list[bytes]) -> tuple[list[int], list[int], list[set]]:
         """Per text its words, its hit words, and the ids of the items whose windows occur."""
@@ -246,10 +295,8 @@ class Detector:
             shard = Shard(found, block, self.window)
             if len(shard.text) < 2 or not len(queries.words):
                 continue
-            result = search(shard.text, queries, self.window)
-            at, item = result.occurrences
-            both = np.unique(shard.doc[at] * len(block.items) + item)
-            for doc, i in zip((both // len(block.items)).tolist(), (both % len(block.items)).tolist(), strict=True):
+            result = search(shard.text, shard.doc, queries, self.window)
+            for doc, i in zip(*(x.tolist() for x in result.pairs), strict=True):
                 items[doc].add(block.item_ids[i])
             places = np.flatnonzero(result.hit)
             cut = np.flatnonzero(np.diff(shard.doc[places])) + 1
@@ -261,10 +308,10 @@ class Detector:
 
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, items (the ids whose windows occur, as sorted strings), n_items."""
-    sent = broadcasts(benchmark, block_words)
+    path = written(benchmark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        detector = Detector(sent, window)
+        detector = Detector(path, window, block_words)
         for batch in slices(batches, size=SHARD_BYTES):
             n_words, n_hit, items = detector(as_bytes(batch))
             listed = [sorted(str(i) for i in own if i is not None) for own in items]
@@ -300,16 +347,16 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, block_words: int = BL
 
     Matches are as long as both texts agree, beyond the window; items without a common word have no row.
     """
-    sent = broadcasts(benchmark, block_words)
+    path = written(benchmark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rounds = prepared(sent, WINDOW)
+        rounds = prepared(path, WINDOW, block_words)
         for batch in slices(batches, size=SHARD_BYTES):
             doc_ids, found = batch.column("doc_id").to_pylist(), [words(t) for t in as_bytes(batch)]
             for block, queries in next(rounds):
                 shard = Shard(found, block, 1)
                 if len(shard.text) > 1 and len(queries.words):
-                    length, at = search(shard.text, queries, WINDOW, deepest=True).longest
+                    length, at = search(shard.text, shard.doc, queries, WINDOW, deepest=True).longest
                     rows = [
                         (str(block.item_ids[queries.item[i]]), int(i - starts), int(length[i]), doc_ids[shard.doc[at[i]]], int(shard.place[at[i]]))
                         for i, starts in best_suffixes(length, queries)
@@ -341,10 +388,10 @@ def best_suffixes(length: np.ndarray, queries: Queries) -> Iterator[tuple[int, i
 
 def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The documents that are not contaminated, with all their columns; every row is judged by its own text."""
-    sent = broadcasts(benchmark, block_words)
+    path = written(benchmark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        detector = Detector(sent, window)
+        detector = Detector(path, window, block_words)
         for batch in slices(batches, size=SHARD_BYTES):
             n_words, n_hit, _ = detector(as_bytes(batch))
             yield batch.filter(pa.array([not h or h * SHARE < n for h, n in zip(n_hit, n_words, strict=True)]))

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 
 import pytest
 
@@ -66,3 +67,33 @@ def test_longest_matches(spark):
     docs = spark.createDataFrame([(1, "a b c d e"), (2, "z c d e f g h"), (3, "c d e f")], "doc_id long, text string")
     items = spark.createDataFrame([(5, "x c d e f g y"), (6, "nothing")], "item_id long, text string")
     assert tables.rows(decontaminate.longest_matches(docs, items)) == [("5", 5, 1, 2, 1)]
+
+
+def test_repeated_words_and_rows_take_little(spark):
+    """One word a million times, against items of that word alone that are repeated many times."""
+    text, item = b"same " * 1_000_000, b"same " * 300
+    path = decontaminate.written(spark.createDataFrame([(i % 3, item.decode()) for i in range(300)], "item_id long, text string"))
+    detector = decontaminate.Detector(path, 13, decontaminate.BLOCK_WORDS)
+    tracemalloc.start()
+    n_words, n_hit, items = detector([text, b"same " * 12, b"", b"other"])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (n_words, n_hit, items) == ([1_000_000, 12, 0, 1], [1_000_000, 0, 0, 0], [{0, 1, 2}, set(), set(), set()])
+    assert peak < 600 << 20
+
+
+def test_pairs_are_joined_in_parts(spark, data, monkeypatch):
+    """The same result when only a few pairs fit at a time."""
+    docs, benchmark, items = data
+    path = decontaminate.written(benchmark)
+    texts = [(r["text"] or "").encode() for r in docs.collect()]
+    whole = decontaminate.Detector(path, 13, 10**6)(texts)
+    monkeypatch.setattr(decontaminate, "PAIRS", 2)
+    assert decontaminate.Detector(path, 13, 10**6)(texts) == whole
+
+
+def test_benchmark_does_not_pass_through_the_driver(spark, data, monkeypatch):
+    docs, benchmark, _ = data
+    for name in ("collect", "toLocalIterator", "toPandas"):
+        monkeypatch.setattr(type(benchmark), name, lambda *_: pytest.fail("through the driver"))
+    decontaminate.hits(docs, benchmark)
