@@ -7,7 +7,8 @@
 All that is kept adds up: counts, and sums as whole-number parts (``functions.exact``). A row that goes takes away exactly
 what it had added, late rows just come later, and a corrected row is one that goes and one that comes. A refresh
 appends its changes to the state; it computes purchases and history of the cards it touches only, and of the days
-only those on which these cards' contributions change. The frame is made from the days.
+only those on which these cards' contributions change. Where a load touches most cards, all cards are computed once and held
+against the days so far, which is half the work and gives the same difference. The frame is made from the days.
 
 Each refresh has a number and writes below it, so one that is run again after a failure replaces its own part. It reads
 only parts with smaller numbers. ``compact`` writes the state as one part.
@@ -51,15 +52,24 @@ class DailyState:
         self._write(campaigns.campaign_changes(clean_campaigns(campaign_rows, cfg, [CHANGE]), CHANGE), "campaigns", number)
 
         touched = purchases.select("card_no").union(changed.select("card_no")).distinct()
-        before = self._contributions(touched, number)
-        if before is None:
-            moved = self._contributions(touched, number + 1)
+        self._write(self._moved(touched, number), "days", number)
+
+    def _moved(self, touched: DataFrame, number: int) -> DataFrame:
+        """What a refresh changes on the days; both ways give the same rows, since all that is added up are whole numbers."""
+        if number == 0:
+            return self._contributions(number + 1)
+        if self._are_most(touched, number):
+            before, after = _added(self._read("days", number), "days"), self._contributions(number + 1)
         else:
-            after = self._contributions(touched, number + 1)
-            values = [name for name in after.columns if name not in _DAY_KEYS]
-            taken = before.select(*_DAY_KEYS, *[(-F.col(name)).alias(name) for name in values])
-            moved = _added(after.unionByName(taken), "days")
-        self._write(moved, "days", number)
+            before, after = self._contributions(number, touched), self._contributions(number + 1, touched)
+        values = [name for name in after.columns if name not in _DAY_KEYS]
+        taken = before.select(*_DAY_KEYS, *[(-F.col(name)).alias(name) for name in values])
+        return _added(after.unionByName(taken), "days")
+
+    def _are_most(self, touched: DataFrame, number: int) -> bool:
+        """Whether one pass over all cards is less work than two over the touched ones."""
+        cards = [self._read(name, number + 1).select("card_no") for name in ("purchases", "members")]
+        return 2 * touched.count() > cards[0].union(cards[1]).distinct().count()
 
     def frame(self) -> DataFrame:
         """The consolidated frame of all refreshes so far."""
@@ -75,11 +85,10 @@ class DailyState:
             other._write(_added(self._read(name), name), name, 0)
         return other
 
-    def _contributions(self, touched: DataFrame, below: int) -> DataFrame | None:
-        """What the touched cards add to each day by the refreshes with smaller numbers; none if there are none."""
-        if below == 0:
-            return None
-        days = card_days_of_changes(_of(self._read("purchases", below), touched), self.cfg)
+    def _contributions(self, below: int, touched: DataFrame | None = None) -> DataFrame:
+        """What the touched cards, or all, add to each day by the refreshes with smaller numbers."""
+        rows = self._read("purchases", below)
+        days = card_days_of_changes(rows if touched is None else _of(rows, touched), self.cfg)
         cards = member_cards_with_days(self._members(below, touched), self.cfg)
         return activity.contributions(days, lambda with_days: cards, self.cfg, list(measures(self.cfg)), in_parts=True)
 

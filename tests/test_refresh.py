@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from daybook import Tables, daily
 from daybook.plans.refresh import CHANGE, DailyState
 from tests import small
-from workload.queries import WRONG, changes
+from workload.queries import WRONG, changes, written_parts
 
 
 def rows(frame):
@@ -69,3 +69,30 @@ def test_results_that_cannot_be_taken_away_are_refused(spark):
     for cfg in (replace(small.CONFIG, semantics="reference"), replace(small.CONFIG, amount_type="decimal(18,4)")):
         with pytest.raises(ValueError, match="corrected"):
             DailyState(spark, "/nowhere", cfg)
+
+
+def test_a_load_on_most_cards_takes_one_pass_and_a_load_on_few_reads_these_only(spark, tmp_path, monkeypatch):
+    passes, contributions = [], DailyState._contributions
+    monkeypatch.setattr(DailyState, "_contributions", lambda *a, **b: passes.append(a) or contributions(*a, **b))
+    raw = small.raw(spark)
+    state = DailyState(spark, str(tmp_path), small.CONFIG)
+    state.refresh(*[rows.withColumn(CHANGE, F.lit(1)) for rows in raw], 0)
+    state.refresh(*[rows.withColumn(CHANGE, F.lit(1)) for rows in raw], 1)
+    assert len(passes) == 2
+    gone = [rows.withColumn(CHANGE, F.lit(-1)) for rows in raw]
+    one = gone[1].where("card_no IS NOT NULL").limit(1)
+    state.refresh(gone[0].where("false"), one, gone[2].where("false"), 2)
+    assert len(passes) == 4
+    state.refresh(gone[0].where("false"), one.withColumn(CHANGE, F.lit(1)), gone[2], 3)
+    state.refresh(gone[0], gone[1], gone[2].where("false"), 4)
+    assert rows(state.frame()) == rows(daily(small.tables(spark), small.CONFIG))
+
+
+def test_loads_come_from_rows_that_are_made_once(spark):
+    raw, wrong = small.raw(spark)[1], WRONG["transactions"]
+    made = spark.createDataFrame([(1,)], "one int").join(raw.withColumn("one", F.lit(1)), "one").drop("one")
+    written = changes(written_parts(spark, made), wrong)
+    for load, plain in zip(written, changes(raw, wrong)):
+        assert "Join" not in load._jdf.queryExecution().optimizedPlan().toString()
+        assert load.columns == plain.columns
+        assert rows(load) == rows(plain)

@@ -364,14 +364,29 @@ WRONG = {
 }
 
 
+# Column of the raw rows that are dealt out to the loads, by all of a row's cells.
+PART = "part"
+
+
+def dealt(raw: DataFrame) -> DataFrame:
+    return raw.withColumn(PART, F.pmod(F.xxhash64(*raw.columns), F.lit(8)).cast("int"))
+
+
+def written_parts(spark: SparkSession, raw: DataFrame) -> DataFrame:
+    """The dealt rows from a written table with a folder per part: the raw rows are made once, and a load reads its parts only."""
+    rows, path = dealt(raw), f"{scratch(spark, 'raw')}/rows"
+    rows.write.partitionBy(PART).parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def changes(raw: DataFrame, wrong: dict[str, str]) -> list[DataFrame]:
     """Four loads that amount to the raw table: most rows, some of them wrong and some that do not belong; late rows;
     corrections; more late rows and the withdrawal of what does not belong."""
-    part = F.pmod(F.xxhash64(*raw.columns), F.lit(8))
+    part, parts = F.col(PART), raw if PART in raw.columns else dealt(raw)
     spoilt = {name: F.lit(text) for name, text in wrong.items()}
 
     def rows(condition, change: int, is_wrong: bool = False) -> DataFrame:
-        some = raw.where(condition)
+        some = parts.where(condition).drop(PART)
         return (some.withColumns(spoilt) if is_wrong else some).withColumn(CHANGE, F.lit(change))
 
     strangers = part == 0
@@ -386,7 +401,8 @@ def changes(raw: DataFrame, wrong: dict[str, str]) -> list[DataFrame]:
 def refreshed_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily frame of a state after a first load and three loads of late and corrected rows."""
     state = DailyState(spark, scratch(spark, "state"), CONFIG)
-    loads = [changes(raw, wrong) for raw, wrong in zip(_raw_tables(spark, sf_dir), WRONG.values())]
+    raws = [written_parts(spark, raw) for raw in _raw_tables(spark, sf_dir)]
+    loads = [changes(raw, wrong) for raw, wrong in zip(raws, WRONG.values())]
     for number, (members, transactions, campaigns) in enumerate(zip(*loads)):
         state.refresh(members, transactions, campaigns, number)
     return _rounded(state.frame())
