@@ -64,6 +64,6 @@ def test_query_equals_sql(spark, name):
 
 def test_all_are_registered():
     found = entry.queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(found)
     assert len(corpus_pipeline.STAGES) == 5
